@@ -118,7 +118,7 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     j = (fl.join(da, F.col("__lak") == F.col("accountkey"))
            .join(fca, F.col("__cak") == F.col("accountkey"), "left")
            .join(dc, F.col("__ck") == F.col("clientkey"))
-           .join(awt, F.col("cif") == F.col("cifnumber"))
+           .join(awt.select("cif", "teller_key"), F.col("cif") == F.col("cifnumber"))
            .join(fcl, F.col("__fck") == F.col("__ck"))
            .join(de, F.col("__ek") == F.col("__fek"))
            .join(dp, F.col("__pk") == F.col("productkey"))

@@ -69,7 +69,9 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
     owner_keys = dc.join(owner_cifs, F.col("cifnumber") == F.col("__own"), "left_semi").select("clientkey")
     by_emp = fc_new.join(emp_keys, "employerkey", "left_semi")
     by_acc = (fc_all if faithful else fc_new).join(owner_keys, "clientkey", "left_semi")
-    fc = by_emp.unionByName(by_acc)
+    fc = by_emp.unionByName(by_acc).select(
+        "clientkey", "clientsnapshotdatekey", "residentialaddresskey", "employerkey",
+        "primarydepositaccountnumber", "clientcollectionskey")
 
     mdc = wh["d_client"].select(F.col("cif").alias("__mcif"), F.col("teller_key").alias("__mtk"))
     mdt = wh["d_teller"].select(F.col("teller_key").alias("__tk"), "teller_no", "teller_name")
