@@ -67,7 +67,7 @@ def contra_entry_match(ledger: DataFrame, flagged: DataFrame,
     debit = (debit_src.filter(F.col(amount) < 0)
              .join(fl, F.col(account) == fl["__flagged"], "left_semi")
              .select(*[F.col(k).alias(f"__d_{k}") for k in keys],
-                     (F.col(amount) * -1).alias("__d_match"),
+                     (-F.col(amount)).alias("__d_match"),  # same decimal type: no cast on the key
                      F.col(amount).alias("debit_amount"),
                      F.col(account).alias("debit_account"),
                      F.col(client).alias("debit_client"),
