@@ -93,8 +93,12 @@ class Fixtures:
                   .dropDuplicates())
 
     def _fx_ledger(self) -> DataFrame:
+        # Each leg becomes one debit entry and, when its line status is 'F',
+        # also one credit entry on a supplier account.  Built with explode
+        # rather than UNION ALL so that every read of the ledger shares one
+        # de-duplicated leg set (the same subplan, so its exchange is reused).
         legs = self.fx_legs
-        debit = legs.select(
+        debit = F.struct(
             F.col("l_orderkey").alias("accountkey"),
             F.col("o_custkey").alias("clientkey"),
             (-F.col("amt")).alias("transactionamount"),
@@ -103,15 +107,17 @@ class Fixtures:
             F.col("l_partkey").alias("journalnumber"),
             F.when(F.col("l_returnflag") == "R", 50).when(F.col("l_returnflag") == "A", 73)
              .otherwise(10).alias("transactionindicatorskey"))
-        credit = legs.filter(F.col("l_linestatus") == "F").select(
-            (F.col("l_suppkey") + 1000000000).alias("accountkey"),
-            (F.col("l_suppkey") + 1000000000).alias("clientkey"),
+        supplier = F.col("l_suppkey") + 1000000000
+        credit = F.struct(
+            supplier.alias("accountkey"),
+            supplier.alias("clientkey"),
             F.col("amt").alias("transactionamount"),
             F.col("d").alias("transactiondate"),
             F.col("l_linenumber").alias("timekey"),
             F.col("l_partkey").alias("journalnumber"),
             F.lit(10).alias("transactionindicatorskey"))
-        return debit.unionByName(credit)
+        roles = F.when(F.col("l_linestatus") == "F", F.array(debit, credit)).otherwise(F.array(debit))
+        return legs.select(F.explode(roles).alias("e")).select("e.*")
 
     def _fx_card(self) -> DataFrame:
         k = F.col("c_custkey")
