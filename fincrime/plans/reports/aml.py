@@ -100,10 +100,14 @@ def aml_evidence(wh: Warehouse, accounts: Sequence[str] | DataFrame, as_of=None,
         .select("clientnumber").distinct()
     account = client_accounts(wh, client)
 
-    owners = account.select(F.col("clientnumber").alias("__owner")).distinct()
+    # Cards, snapshots and details are filtered by the searched clients, not by
+    # the account rows: the final inner joins require a card, an account and the
+    # details of the same searched client anyway, so the result is the same and
+    # the account pipeline (two windows over the balance history) runs once.
+    clients = client.select(F.col("clientnumber").alias("__owner"))
     card = scd2_current(wh["dimcard"]).filter(F.col("cardholdertypecode") == "P") \
         .withColumn("card_clientnumber", fn.strip_check_digit("clientnumber", 8))
-    card = card.join(owners, F.col("card_clientnumber") == F.col("__owner"), "left_semi")
+    card = card.join(clients, F.col("card_clientnumber") == F.col("__owner"), "left_semi")
     card = card.groupBy("clientnumber", "cardholdertypecode", "cardnumber", "primarycardnumber",
                         "cardstatusname", "cardholdertypename", "embossedname",
                         "partyidentifiernumber", "cardcreationdate", "card_clientnumber") \
@@ -112,8 +116,7 @@ def aml_evidence(wh: Warehouse, accounts: Sequence[str] | DataFrame, as_of=None,
     fc = wh["factclient"].select("cifnumber", "residentialaddresskey", "postaladdresskey",
                                  "employerkey", "primarydepositaccountnumber",
                                  "clientsnapshottimestamp")
-    fc = fc.join(card.select(F.col("card_clientnumber").alias("__cc")).distinct(),
-                 F.col("cifnumber") == F.col("__cc"), "left_semi")
+    fc = fc.join(clients, F.col("cifnumber") == F.col("__owner"), "left_semi")
     fc = latest_per_key(fc, ["cifnumber"], ["clientsnapshottimestamp"],
                         ties=ties_over(fc, ["cifnumber", "clientsnapshottimestamp"]))
     acc_hist = wh["dimaccount"].select(F.col("accountnumber").alias("__pan"),
