@@ -662,7 +662,7 @@ def num_round(c: Ctx) -> DataFrame:
 def num_safe_divide(c: Ctx) -> DataFrame:
     return c.t.events.select(
         "event_id", fn.safe_divide(F.col("value").cast("decimal(18,2)"),
-                                   (F.col("event_id") % 3).cast("decimal(18,2)")).alias("r"))
+                                   (F.col("event_id") % 3).cast("decimal(18,2)")).cast("double").alias("r"))
 
 
 # ---------------------------------------------------------------- business operators

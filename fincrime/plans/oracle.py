@@ -29,8 +29,8 @@ FX_VIEWS: dict[str, str] = {
         "accountopendate, o_orderstatus as accountstatusname, case when o_orderkey%9=0 then 0 else 1 "
         "end as rowiscurrent from orders"),
     "fx_daily": (
-        "select l_orderkey as accountkey, year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) "
-        "as coveragedatekey, cast(l_extendedprice as decimal(18,2)) as currentbalanceamount, "
+        "select l_orderkey as accountkey, cast(year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) "
+        "as integer) as coveragedatekey, cast(l_extendedprice as decimal(18,2)) as currentbalanceamount, "
         "l_linenumber%3 as stopsonaccountcount from lineitem"),
     "fx_legs": (
         "select distinct l_orderkey, l_suppkey, l_partkey, l_linenumber, cast(l_shipdate as date) as d, "
@@ -89,7 +89,7 @@ QUERIES: dict[str, str] = {
     "select_star": "select * from region",
     "constant_columns": "select c_custkey, '' as ref, 'X' as tag from customer",
     "quoted_names": 'select c_custkey, c_name as "E-mail" from customer',
-    "alias_reuse": ("select y, o_orderstatus from (select year(o_orderdate) as y, o_orderstatus from "
+    "alias_reuse": ("select y, o_orderstatus from (select cast(year(o_orderdate) as integer) as y, o_orderstatus from "
                     "orders) q where y>=1999 group by y, o_orderstatus"),
     "derived_projection": ("select a.o_orderkey, b.c_name from (select o_orderkey,o_custkey from orders) a "
                            "join (select c_custkey,c_name from customer) b on b.c_custkey=a.o_custkey"),
@@ -99,8 +99,8 @@ QUERIES: dict[str, str] = {
     "nested_cte": ("with a as (with b as (select c_custkey,c_nationkey from customer where c_acctbal>0) "
                    "select c_custkey, c_nationkey from b) select c_custkey, n_name from a join nation "
                    "on n_nationkey=c_nationkey"),
-    "arith_projection": ("select o_orderkey, cast(o_totalprice as decimal(18,2)) - cast(1000 as "
-                         "decimal(18,2)) * -1 as available from orders"),
+    "arith_projection": ("select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) - cast(1000 as "
+                         "decimal(18,2)) * -1 as decimal(21,2)) as available from orders"),
     # filters
     "filter_eq": "select c_custkey from customer where c_mktsegment='MACHINERY'",
     "filter_cmp": "select c_custkey from customer where c_acctbal<0 and c_nationkey<>3",
@@ -187,24 +187,24 @@ QUERIES: dict[str, str] = {
     "agg_group_max": "select o_custkey, max(o_orderkey) as max_key from orders group by o_custkey",
     "agg_global_max": "select max(coveragedatekey) as m from fx_daily",
     "agg_group_ordinal": "select p_brand,p_type from part group by 1,2",
-    "agg_group_expr": ("select year(o_orderdate) as y, max(o_orderkey) as m from orders group by "
-                       "year(o_orderdate)"),
-    "dedup_then_number": ("select *, row_number() over(partition by c_nationkey order by c_mktsegment "
-                          "asc nulls last) as rn from (select distinct c_nationkey,c_mktsegment from "
+    "agg_group_expr": ("select cast(year(o_orderdate) as integer) as y, max(o_orderkey) as m from orders "
+                       "group by year(o_orderdate)"),
+    "dedup_then_number": ("select *, cast(row_number() over(partition by c_nationkey order by c_mktsegment "
+                          "asc nulls last) as integer) as rn from (select distinct c_nationkey,c_mktsegment from "
                           "customer) q"),
     # windows
-    "win_rownum_desc": ("select o_orderkey, row_number() over(partition by o_custkey order by o_orderdate "
-                        "desc nulls last, o_orderkey) as rn from orders"),
-    "win_rownum_multi_part": ("select o_orderkey, row_number() over(partition by o_custkey,o_orderstatus "
-                              "order by o_orderdate desc nulls last, o_orderkey) as rn from orders"),
-    "win_rownum_asc": ("select o_orderkey, row_number() over(partition by o_custkey order by o_orderdate "
-                       "asc nulls last, o_orderkey) as rn from orders"),
-    "win_rownum_multi_order": ("select event_id, row_number() over(partition by user_id order by "
-                               "cast(ts as date) desc nulls last, ts desc nulls last, event_id) as rn "
+    "win_rownum_desc": ("select o_orderkey, cast(row_number() over(partition by o_custkey order by o_orderdate "
+                        "desc nulls last, o_orderkey) as integer) as rn from orders"),
+    "win_rownum_multi_part": ("select o_orderkey, cast(row_number() over(partition by o_custkey,o_orderstatus "
+                              "order by o_orderdate desc nulls last, o_orderkey) as integer) as rn from orders"),
+    "win_rownum_asc": ("select o_orderkey, cast(row_number() over(partition by o_custkey order by o_orderdate "
+                       "asc nulls last, o_orderkey) as integer) as rn from orders"),
+    "win_rownum_multi_order": ("select event_id, cast(row_number() over(partition by user_id order by "
+                               "cast(ts as date) desc nulls last, ts desc nulls last, event_id) as integer) as rn "
                                "from events"),
-    "win_after_dedup": ("select *, row_number() over(partition by accountkey order by coveragedatekey "
+    "win_after_dedup": ("select *, cast(row_number() over(partition by accountkey order by coveragedatekey "
                         "desc nulls last, currentbalanceamount desc nulls last, stopsonaccountcount desc "
-                        "nulls last) as rn from (select distinct * from fx_daily) q"),
+                        "nulls last) as integer) as rn from (select distinct * from fx_daily) q"),
     "latest_per_key": ("select accountkey,coveragedatekey,currentbalanceamount from (select *, "
                        "row_number() over(partition by accountkey order by coveragedatekey desc nulls "
                        "last, currentbalanceamount desc nulls last, stopsonaccountcount desc nulls last) "
@@ -225,7 +225,7 @@ QUERIES: dict[str, str] = {
     "str_concat": "select c_custkey, c_name || ', ' || c_mktsegment as s from customer",
     "str_left": ("select clientkey, substring(cifwithcheckdigit,1,8) as base, "
                  "substring(cifwithcheckdigit,1,6) as bin from fx_client"),
-    "str_len": "select clientkey, length(middlesecondname) as n from fx_client",
+    "str_len": "select clientkey, cast(length(middlesecondname) as integer) as n from fx_client",
     "str_trim": "select clientkey, trim(middlefirstname) as t from fx_client",
     "str_ltrim_zero": "select tellerkey, ltrim(tellernumber,'0') as t from fx_teller",
     "str_replace": ("select addresskey, replace(replace(l1||', '||l2||', '||l3||', '||city, ', , ', ', '), "
@@ -244,12 +244,14 @@ QUERIES: dict[str, str] = {
     "cast_int": "select tellerkey, try_cast(tellernumber as int) as n from fx_teller",
     "cast_string": "select event_id, cast(user_id as varchar) as s from events",
     "cast_decimal": "select event_id, try_cast(tran_amount_req as decimal(23,2)) as a from fx_auth",
-    "date_extract": "select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m from orders",
-    "time_extract": "select event_id, hour(ts) as h, minute(ts) as mi from events",
+    "date_extract": "select o_orderkey, cast(year(o_orderdate) as integer) as y, cast(month(o_orderdate) as integer) "
+                     "as m from orders",
+    "time_extract": "select event_id, cast(hour(ts) as integer) as h, cast(minute(ts) as integer) as mi from events",
     "date_sub_days": "select o_orderkey, cast(cast(o_orderdate as date) - 30 as date) as d from orders",
-    "date_diff_days": f"select accountkey, {_DDIFF} as days from fx_account",
+    "date_diff_days": f"select accountkey, cast({_DDIFF} as integer) as days from fx_account",
     "int_div": f"select accountkey, {_DDIFF} // 365 as age from fx_account",
-    "num_round": ("select o_orderkey, round(cast(o_totalprice as decimal(18,4))/7,2) as r from orders"),
+    "num_round": ("select o_orderkey, cast(round(cast(o_totalprice as decimal(18,4))/7,2) as decimal(17,2)) as r "
+                  "from orders"),
     "num_safe_divide": "select event_id, value / nullif(event_id%3,0) as r from events",
     # business operators
     "scd2_current": "select * from fx_client where rowiscurrent=1",
@@ -314,8 +316,8 @@ QUERIES: dict[str, str] = {
         "=c.cifnumber where c.rowiscurrent=1 and (c.lastname='MACHINERY' or a.accountnumber in "
         "('000000011'))"),
     "report_contra": (
-        "select * from (select m.*, row_number() over(partition by credit_client order by transactiondate "
-        "desc nulls last, timekey desc nulls last, debit_account, journalnumber, credit) as rn from (select "
+        "select * from (select m.*, cast(row_number() over(partition by credit_client order by transactiondate "
+        "desc nulls last, timekey desc nulls last, debit_account, journalnumber, credit) as integer) as rn from (select "
         "distinct a.clientkey as credit_client, a.accountkey as credit_account, b.accountkey as "
         "debit_account, b.clientkey as debit_client, c.firstname as debit_name, a.transactiondate, "
         "a.timekey, a.journalnumber, a.transactionamount as credit, b.transactionamount as debit from "
@@ -359,8 +361,8 @@ QUERIES: dict[str, str] = {
         "where k.cardno in (17,42)"),
     "report_incidents": (
         "select * from (select e.user_id*10+length(e.event_type) as incident_number, c.cifwithcheckdigit, "
-        "cast(e.ts as date) as created, e.event_type as category, row_number() over(partition by "
-        "e.user_id*10+length(e.event_type) order by e.ts desc nulls last, e.event_id) as rn from events e "
+        "cast(e.ts as date) as created, e.event_type as category, cast(row_number() over(partition by "
+        "e.user_id*10+length(e.event_type) order by e.ts desc nulls last, e.event_id) as integer) as rn from events e "
         "join fx_client c on c.cifnumber=lpad(cast(e.user_id as varchar),8,'0') where c.rowiscurrent=1) z "
         "where rn=1"),
     "report_tollgate": (
