@@ -77,6 +77,13 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     fl = latest_snapshot(wh["factloanaccountdailycoverage"], "coveragedatekey")
     app_date = fn.date_from_key("lastadvancedatekey")
     fl = fl.filter(app_date.between(lo, hi))
+    # The searched clients are the most selective input: keep only their loan
+    # rows before the wide joins (exact: the inner join with ``awt`` below
+    # drops every other row anyway).
+    searched_keys = scd2_current(wh["dimclient"]).join(
+        awt.select(F.col("cif").alias("__scif")), F.col("cifnumber") == F.col("__scif"), "left_semi") \
+        .select(F.col("clientkey").alias("__sk"))
+    fl = fl.join(searched_keys, F.col("clientkey") == F.col("__sk"), "left_semi")
     da = scd2_current(wh["dimaccount"]).select(F.col("accountkey").alias("__lak"),
                                                F.col("accountnumberwithcheckdigit").alias("loan_contract"))
     fca = wh["factcapout"].select(F.col("accountkey").alias("__cak"), "advanceamount",
