@@ -22,7 +22,6 @@ OPERATOR_KEYS: dict[str, callable] = {}
 
 # Fixed search inputs and thresholds of the fixtures (invented values).
 SEARCH_CUSTOMERS = [1, 7, 42]
-SEARCH_ACCOUNTS = [11, 222, 3333]
 AS_OF = "2024-07-15"
 FLAG_CODES = [50, 73]
 
@@ -746,8 +745,8 @@ def hour_label(c: Ctx) -> DataFrame:
 
 @key("accounts_of_client")
 def accounts_of_client_key(c: Ctx) -> DataFrame:
-    acc = accounts_of_client(c.fx.fx_account, SEARCH_ACCOUNTS).select(
-        "accountkey", "accountnumber")
+    search = c.fx.fx_account.filter(F.col("accountstatusname") == "P").select("accountkey")
+    acc = accounts_of_client(c.fx.fx_account, search).select("accountkey", "accountnumber")
     newest = latest_per_key(dedup(c.fx.fx_daily), ["accountkey"], ["coveragedatekey"],
                             ties=_DAILY_TIES).select(F.col("accountkey").alias("__a"),
                                                      "currentbalanceamount")

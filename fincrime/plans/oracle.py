@@ -289,12 +289,11 @@ QUERIES: dict[str, str] = {
                            "coveragedatekey desc nulls last, currentbalanceamount desc nulls last, "
                            "stopsonaccountcount desc nulls last) as rn from (select distinct * from "
                            "fx_daily) z) q where rn=1) w) d on d.accountkey=a.accountkey where "
-                           "a.clientnumber in (select clientnumber from fx_account where accountkey in "
-                           "(11,222,3333))"),
+                           "a.clientnumber in (select clientnumber from fx_account where accountstatusname='P')"),
     # ------------------------------------------------------------ reports
     "report_aml": (
-        "with key_client as (select distinct clientnumber from fx_account where accountkey in "
-        "(11,222,3333)), acc as (select a.clientnumber, a.accountnumber, d.currentbalanceamount, "
+        "with key_client as (select distinct clientnumber from fx_account where accountstatusname='P'), "
+        "acc as (select a.clientnumber, a.accountnumber, d.currentbalanceamount, "
         "d.coveragedatekey, 'Deposit' as grp from fx_account a join (select distinct * from fx_daily) d "
         "on d.accountkey=a.accountkey where a.accountstatusname='F' and a.clientnumber in (select "
         "clientnumber from key_client) union all select a.clientnumber, a.accountnumber, "
@@ -314,7 +313,7 @@ QUERIES: dict[str, str] = {
         "a.rowiscurrent=1 left join fx_daily d on d.accountkey=a.accountkey and d.coveragedatekey=(select "
         "max(coveragedatekey) from fx_daily) join fx_addr ad on lpad(cast(ad.addresskey as varchar),8,'0')"
         "=c.cifnumber where c.rowiscurrent=1 and (c.lastname='MACHINERY' or a.accountnumber in "
-        "('000000011'))"),
+        "(select accountnumber from fx_account where accountstatusname='P'))"),
     "report_contra": (
         "select * from (select m.*, cast(row_number() over(partition by credit_client order by transactiondate "
         "desc nulls last, timekey desc nulls last, debit_account, journalnumber, credit) as integer) as rn from (select "
@@ -338,11 +337,12 @@ QUERIES: dict[str, str] = {
         "trim(ad.city), ', , ', ', '), ', , ', ', ') as home_address from fx_client c join fx_account a on "
         f"a.clientnumber=c.cifnumber and a.rowiscurrent=1 join {_LATEST_DAILY} d on "
         "d.accountkey=a.accountkey join fx_addr ad on lpad(cast(ad.addresskey as varchar),8,'0')="
-        "c.cifnumber where c.rowiscurrent=1 and a.accountnumber in ('000000011','000000222','000003333',"
-        "'000014000')"),
+        "c.cifnumber where c.rowiscurrent=1 and a.accountnumber in (select accountnumber from fx_account "
+        "where accountstatusname='P')"),
     "report_case_lookup": (
         "select o_orderkey, o_orderdate, o_orderstatus from orders where o_orderdate > timestamp "
-        "'1998-02-15 06:00:00' and o_custkey=77"),
+        "'1998-02-15 06:00:00' and o_custkey in (select c_custkey from customer where "
+        "c_mktsegment='AUTOMOBILE')"),
     "report_arrears": (
         "select distinct c.cifwithcheckdigit, a.accountnumber, ltrim(tellernumber,'0')||' - '||tellername "
         "as create_teller, d.currentbalanceamount, cast(round(cast(d.stopsonaccountcount as decimal(18,2))"
@@ -358,7 +358,7 @@ QUERIES: dict[str, str] = {
         "first_name, k.stopdate from fx_card k join fx_client c on c.cifnumber=lpad(cast(k.cardno as "
         "varchar),8,'0') and c.rowiscurrent=1 join fx_account a on a.clientnumber=substring("
         f"c.cifwithcheckdigit,1,8) and a.rowiscurrent=1 join {_LATEST_DAILY} d on d.accountkey=a.accountkey "
-        "where k.cardno in (17,42)"),
+        "where k.cardno in (select c_custkey from customer where c_mktsegment='FURNITURE')"),
     "report_incidents": (
         "select * from (select e.user_id*10+length(e.event_type) as incident_number, c.cifwithcheckdigit, "
         "cast(e.ts as date) as created, e.event_type as category, cast(row_number() over(partition by "

@@ -17,20 +17,27 @@ from fincrime.plans.context import Ctx, d, ts_lit
 
 REPORT_KEYS: dict[str, callable] = {}
 
-# Search inputs of the fixtures (invented values; the reports take any set).
-AML_ACCOUNTS = [11, 222, 3333]
+# Search inputs: whole segments derived from the tables (the reports take a
+# list or a DataFrame of any size), a day, a period and an instant.
+SEARCH_STATUS = "P"            # accounts searched: every account with this status
 EMPLOYER_NAME = "MACHINERY"
-EMPLOYER_ACCOUNTS = ["000000011"]
-LOOKUP_ACCOUNTS = ["000000011", "000000222", "000003333", "000014000"]
+CASE_SEGMENT = "AUTOMOBILE"    # case folders of every client in this segment
+CARD_SEGMENT = "FURNITURE"     # cards of every client in this segment
 FRAUD_DAY = "1998-09-30"
 CASE_AFTER = "1998-02-15 06:00:00"
-CASE_CUSTOMER = 77
 ARREARS_FROM, ARREARS_TO = "1998-04-04", "1998-06-04"
-CARDS = [17, 42]
 DEVICE_TYPES = {"view": "NAD", "purchase": "POS"}
 _DAILY_TIES = ["currentbalanceamount", "stopsonaccountcount"]
 
 
+def _searched_accounts(c: Ctx) -> DataFrame:
+    return c.fx.fx_account.filter(F.col("accountstatusname") == SEARCH_STATUS)
+
+
+def _segment(c: Ctx, segment: str) -> DataFrame:
+    return c.t.customer.filter(F.col("c_mktsegment") == segment).select("c_custkey")
+
+
 def report(name: str):
     def reg(f):
         REPORT_KEYS[name] = f
@@ -54,7 +61,7 @@ def _address_by_cif(c: Ctx) -> DataFrame:
 @report("report_aml")
 def report_aml(c: Ctx) -> DataFrame:
     acc = c.fx.fx_account
-    clients = clients_of_accounts(acc, AML_ACCOUNTS)
+    clients = clients_of_accounts(acc, _searched_accounts(c).select("accountkey"))
     mine = acc.join(clients, "clientnumber", "left_semi")
     daily = dedup(c.fx.fx_daily).select(F.col("accountkey").alias("__a"), "coveragedatekey",
                                         "currentbalanceamount")
@@ -90,8 +97,12 @@ def report_employer(c: Ctx) -> DataFrame:
     j = (cl.join(acc, acc["clientnumber"] == cl["cifnumber"])
            .join(daily, daily["__a"] == acc["accountkey"], "left")
            .join(ad, ad["__cif"] == cl["cifnumber"]))
-    # snapshot AND (employer OR account): the intended reading of the source
-    j = j.filter((F.col("lastname") == EMPLOYER_NAME) | F.col("accountnumber").isin(EMPLOYER_ACCOUNTS))
+    # snapshot AND (employer OR account): the intended reading of the source.
+    # The account test is a left join with the distinct searched numbers (1:1,
+    # so no row is repeated) and a marker, so the OR stays one pass.
+    searched = _searched_accounts(c).select(F.col("accountnumber").alias("__hit")).distinct()
+    j = j.join(searched, F.col("accountnumber") == F.col("__hit"), "left")
+    j = j.filter((F.col("lastname") == EMPLOYER_NAME) | F.col("__hit").isNotNull())
     st, an = "accountstatusname", "accountnumber"
     return dedup(j.select(
         an, "cifwithcheckdigit",
@@ -133,7 +144,8 @@ def report_missed_fraud(c: Ctx) -> DataFrame:
 
 @report("report_client_lookup")
 def report_client_lookup(c: Ctx) -> DataFrame:
-    acc = semi_join_keys(scd2_current(c.fx.fx_account), "accountnumber", LOOKUP_ACCOUNTS)
+    acc = semi_join_keys(scd2_current(c.fx.fx_account), "accountnumber",
+                         _searched_accounts(c).select("accountnumber"))
     cl = _current_clients(c)
     daily = _newest_daily(c).select(F.col("accountkey").alias("__a"), "currentbalanceamount",
                                     "stopsonaccountcount")
@@ -152,7 +164,8 @@ def report_client_lookup(c: Ctx) -> DataFrame:
 @report("report_case_lookup")
 def report_case_lookup(c: Ctx) -> DataFrame:
     o = c.t.orders
-    return o.filter((F.col("o_orderdate") > ts_lit(CASE_AFTER)) & (F.col("o_custkey") == CASE_CUSTOMER)) \
+    o = o.filter(F.col("o_orderdate") > ts_lit(CASE_AFTER))
+    return semi_join_keys(o, "o_custkey", _segment(c, CASE_SEGMENT)) \
         .select("o_orderkey", "o_orderdate", "o_orderstatus")
 
 
@@ -180,7 +193,7 @@ def report_arrears(c: Ctx) -> DataFrame:
 
 @report("report_card_search")
 def report_card_search(c: Ctx) -> DataFrame:
-    k = semi_join_keys(c.fx.fx_card, "cardno", CARDS).withColumn(
+    k = semi_join_keys(c.fx.fx_card, "cardno", _segment(c, CARD_SEGMENT)).withColumn(
         "__cif", F.lpad(F.col("cardno").cast("string"), 8, "0"))
     cl = _current_clients(c).withColumn("__base", fn.strip_check_digit("cifwithcheckdigit", 8))
     acc = scd2_current(c.fx.fx_account).select("accountkey", "accountnumber", "clientnumber")
