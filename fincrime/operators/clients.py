@@ -30,25 +30,30 @@ def accounts_of_client(accounts: DataFrame, search: Sequence | DataFrame,
     return accounts.join(clients, client_col, "left_semi")
 
 
-def cards_of_client(cards: DataFrame, clients: DataFrame, card_client_col: str = "clientnumber",
-                    client_col: str = "cifwithcheckdigit", holder_col: str = "cardholdertypecode",
-                    primary_code: str = "P", key_col: str = "cardkey",
-                    number_col: str = "cardnumber") -> DataFrame:
-    """Current primary-holder cards of the clients, newest card key per card
-    number (``groupBy`` + ``max``: partial aggregation before the shuffle)."""
-    c = scd2_current(cards).filter(F.col(holder_col) == primary_code)
-    c = c.join(clients.select(F.col(client_col).alias("__c")).distinct(),
-               F.col(card_client_col) == F.col("__c"), "left_semi")
-    return c.groupBy(number_col).agg(F.max(key_col).alias(key_col))
+CARD_ATTRIBUTES = ("clientnumber", "cardholdertypecode", "cardnumber", "primarycardnumber",
+                   "cardstatusname", "cardholdertypename", "embossedname", "partyidentifiernumber",
+                   "cardcreationdate")
+
+
+def cards_of_client(cards: DataFrame, clients: DataFrame, client_col: str | None = None,
+                    holder_code: str = "P", base_len: int = 8,
+                    attributes: Sequence[str] = CARD_ATTRIBUTES) -> DataFrame:
+    """Current cards of a holder type whose client number (first ``base_len``
+    characters) is one of ``clients``; the newest card key per set of card
+    attributes (``groupBy`` + ``max``: partial aggregation before the shuffle).
+    Adds ``card_clientnumber`` (the base client number)."""
+    cc = client_col or clients.columns[0]
+    keys = clients.select(F.col(cc).alias("__owner"))
+    c = scd2_current(cards).filter(F.col("cardholdertypecode") == holder_code) \
+        .withColumn("card_clientnumber", F.substring("clientnumber", 1, base_len))
+    c = c.join(keys, F.col("card_clientnumber") == F.col("__owner"), "left_semi")
+    return c.groupBy(*attributes, "card_clientnumber").agg(F.max("cardkey").alias("cardkey"))
 
 
 def stopped_card_activity(auths: DataFrame, cards: DataFrame, card_col: str = "cardno",
-                          ts_col: str = "datetime_req", stop_col: str = "stopdate",
-                          card_key: str | None = None) -> DataFrame:
-    """Card messages on or after the card's stop date.  Cards without a stop
-    date drop out (null comparison).  Carries the card's columns."""
-    ck = card_key or card_col
-    k = cards.withColumnRenamed(ck, "__card") if ck in auths.columns else cards
-    right_key = "__card" if ck in auths.columns else ck
-    j = auths.join(k, auths[card_col] == k[right_key], "inner")
+                          ts_col: str = "datetime_req", stop_col: str = "stopdate") -> DataFrame:
+    """Card messages on or after the card's stop date (calendar days).  Cards
+    without a stop date drop out (null comparison).  Carries the card's columns."""
+    k = cards.withColumnRenamed(card_col, "__card")
+    j = auths.join(k, auths[card_col] == k["__card"], "inner").drop("__card")
     return j.filter(F.to_date(F.col(ts_col)) >= F.col(stop_col))

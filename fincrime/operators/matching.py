@@ -16,7 +16,6 @@ joined with the matching partition of the other side).  No pair is dropped.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -78,11 +77,3 @@ def contra_entry_match(ledger: DataFrame, flagged: DataFrame,
     cond.append(credit["credit_client"] != debit["debit_client"])
     out = credit.join(debit, cond, "inner")
     return out.drop(*[f"__d_{k}" for k in keys], "__d_match")
-
-
-def as_of_date(v) -> _dt.date:
-    if isinstance(v, _dt.datetime):
-        return v.date()
-    if isinstance(v, _dt.date):
-        return v
-    return _dt.date.fromisoformat(str(v))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fincrime import functions as fn
 from fincrime.operators import dedup, latest_per_key, scd2_current, semi_join_keys, union_all
+from fincrime.operators.clients import cards_of_client
 from fincrime.plans.reports.common import current, ties_over, to_date_value
 from fincrime.sources.catalog import Warehouse
 
@@ -105,13 +106,7 @@ def aml_evidence(wh: Warehouse, accounts: Sequence[str] | DataFrame, as_of=None,
     # details of the same searched client anyway, so the result is the same and
     # the account pipeline (two windows over the balance history) runs once.
     clients = client.select(F.col("clientnumber").alias("__owner"))
-    card = scd2_current(wh["dimcard"]).filter(F.col("cardholdertypecode") == "P") \
-        .withColumn("card_clientnumber", fn.strip_check_digit("clientnumber", 8))
-    card = card.join(clients, F.col("card_clientnumber") == F.col("__owner"), "left_semi")
-    card = card.groupBy("clientnumber", "cardholdertypecode", "cardnumber", "primarycardnumber",
-                        "cardstatusname", "cardholdertypename", "embossedname",
-                        "partyidentifiernumber", "cardcreationdate", "card_clientnumber") \
-        .agg(F.max("cardkey").alias("cardkey"))
+    card = cards_of_client(wh["dimcard"], client)
 
     fc = wh["factclient"].select("cifnumber", "residentialaddresskey", "postaladdresskey",
                                  "employerkey", "primarydepositaccountnumber",
