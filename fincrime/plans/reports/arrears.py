@@ -42,6 +42,13 @@ REQUIRED = {
 
 LOAN_GROUPS = ["Loan", "Facility", "Credit Card"]
 
+OUTPUT = ["id_number", "cif_check_digit", "client_create_date", "create_teller",
+          "primary_deposit_account", "dep_bal", "account_stopped", "loan_contract",
+          "application_date", "client_type", "default_date", "num_arrears_installments",
+          "loan_purpose", "retailer_name", "mie", "loan_bal", "loan_arrears", "product_desc",
+          "loan_teller", "branch_name", "province", "client_handed_over_status", "employer_no",
+          "employer_name", "industry", "capout", "prism_score", "client_arrears_ratio"]
+
 
 def accounts_with_tellers(wh: Warehouse, accounts: Sequence[str] | DataFrame) -> DataFrame:
     """cif, teller key of the first activated card, primary deposit account."""
@@ -134,15 +141,11 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
            .join(fd, F.col("__fdk") == F.col("__dak"))
            .join(db, F.col("__bk") == F.col("transactionbranchkey"), "left")
            .join(dt2, F.col("__t2k") == F.col("loanofficertellerkey"), "left")
-           .join(dcc, F.col("__cck") == F.col("clientcollectionskey"), "left")
-           .join(cao, F.col("__cao_cif") == F.col("cifwithcheckdigit"))
-           .join(sma, F.col("__sma") == F.col("logical_record_id"), "left")
-           .join(smr, F.col("__smr") == F.col("logical_record_id"), "left")
-           .join(gd, F.col("__gd") == F.col("logical_record_id"), "left"))
+           .join(dcc, F.col("__cck") == F.col("clientcollectionskey"), "left"))
     # the primary deposit account must be one found for a searched client
     j = j.join(awt.select(F.col("primary_deposit_account").alias("__pda")).distinct(),
                F.col("primary_deposit_account") == F.col("__pda"), "left_semi")
-    out = dedup(j.select(
+    loan_side = dedup(j.select(
         F.col("partyidentifiertypenumber").alias("id_number"),
         F.col("cifwithcheckdigit").alias("cif_check_digit"),
         F.col("clientcreatedate").alias("client_create_date"),
@@ -152,12 +155,8 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
         fn.flag_yes_no("stopsonaccountcount").alias("account_stopped"),
         "loan_contract",
         app_date.alias("application_date"),
-        F.col("clienttype").alias("client_type"),
         fn.date_from_key("lastarrearsdatekey").alias("default_date"),
         F.col("arrearsinstallmentcount").alias("num_arrears_installments"),
-        F.col("loanpurpose").alias("loan_purpose"),
-        F.col("retailername").alias("retailer_name"),
-        F.col("privatesector").alias("mie"),
         F.col("loanbalanceamount").alias("loan_bal"),
         F.col("loanarrearsamount").alias("loan_arrears"),
         F.col("productname").alias("product_desc"),
@@ -170,6 +169,19 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
         F.col("employername").alias("employer_name"),
         F.col("employerindustrytypename").alias("industry"),
         F.col("advanceamount").alias("capout"),
-        F.col("score_mi").alias("prism_score"),
         fn.arrears_ratio("loanarrearsamount", "loanbalanceamount").alias("client_arrears_ratio")))
+    # Credit outcomes join by client only, so every loan row meets every
+    # outcome row of its client.  Both sides carry the client's CIF, so the
+    # product of the two DISTINCT sides is itself distinct: de-duplicating
+    # each side before the fan-out gives exactly the DISTINCT of the whole
+    # row, without hashing the fanned-out rows.
+    outcome_side = dedup(
+        cao.join(sma, F.col("__sma") == F.col("logical_record_id"), "left")
+           .join(smr, F.col("__smr") == F.col("logical_record_id"), "left")
+           .join(gd, F.col("__gd") == F.col("logical_record_id"), "left")
+           .select("__cao_cif", F.col("clienttype").alias("client_type"),
+                   F.col("loanpurpose").alias("loan_purpose"),
+                   F.col("retailername").alias("retailer_name"),
+                   F.col("privatesector").alias("mie"), F.col("score_mi").alias("prism_score")))
+    out = loan_side.join(outcome_side, F.col("cif_check_digit") == F.col("__cao_cif")).select(*OUTPUT)
     return out.orderBy(F.col("id_number").desc_nulls_last())
