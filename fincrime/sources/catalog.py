@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fincrime.sources.schemas import schema_of
+from fincrime.sources.schemas import relation_names, schema_of
 
 
 def _norm(name: str) -> str:
@@ -37,12 +37,21 @@ class Warehouse:
         self._cache: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_parquet_root(cls, spark: SparkSession, root: str) -> "Warehouse":
-        """One parquet file or folder per relation under ``root``."""
+    def from_parquet_root(cls, spark: SparkSession, root: str,
+                          names: Iterable[str] | None = None) -> "Warehouse":
+        """One parquet folder (or file) per relation under ``root``.
+
+        A local ``root`` is listed.  Otherwise (any Hadoop-compatible URI)
+        ``names`` -- by default every declared relation -- map to
+        ``root/name`` without listing; a missing one fails when first read."""
+        root = root.rstrip("/")
         sources: dict[str, str] = {}
-        for entry in os.listdir(root):
-            name = entry[:-8] if entry.endswith(".parquet") else entry
-            sources[name] = os.path.join(root, entry)
+        if names is None and "://" not in root and os.path.isdir(root):
+            for entry in os.listdir(root):
+                sources[entry[:-8] if entry.endswith(".parquet") else entry] = f"{root}/{entry}"
+        else:
+            for name in (names if names is not None else relation_names()):
+                sources[name] = f"{root}/{name}"
         return cls(spark, sources)
 
     def has(self, name: str) -> bool:
