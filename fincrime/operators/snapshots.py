@@ -45,13 +45,21 @@ def _sort_cols(cols: Sequence[ColumnOrName], ascending: bool) -> list[Column]:
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName], *,
                 ties: Sequence[ColumnOrName], ascending: bool = False,
-                name: str = "rn") -> DataFrame:
+                name: str = "rn", balanced: bool = True) -> DataFrame:
     """``row_number()`` per key.  Names in ``order``/``ties`` sort in the
     given direction with nulls last; Columns keep their own direction.
     ``ties`` is required: pass the columns that make the order total (or an
-    empty list when ``order`` is already unique per key)."""
-    w = Window.partitionBy(*[to_col(k) for k in keys]).orderBy(
-        *_sort_cols(list(order) + list(ties), ascending))
+    empty list when ``order`` is already unique per key).
+
+    ``balanced=True`` (default) numbers every row without putting a whole key
+    in one task (see ``operators/numbering.py``).  Callers that only keep
+    ``rn = 1`` pass ``balanced=False``: the window plan then limits each key
+    to one row per map task before the shuffle, which is already balanced."""
+    sort = _sort_cols(list(order) + list(ties), ascending)
+    if balanced:
+        from fincrime.operators.numbering import number_rows_balanced
+        return number_rows_balanced(df, list(keys), sort, name=name)
+    w = Window.partitionBy(*[to_col(k) for k in keys]).orderBy(*sort)
     return df.withColumn(name, F.row_number().over(w))
 
 
@@ -60,7 +68,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrN
                    ascending: bool = False) -> DataFrame:
     """Newest row per key (``ascending=True``: oldest)."""
     rn = "__rn"
-    out = number_rows(df, keys, order, ties=ties, ascending=ascending, name=rn)
+    out = number_rows(df, keys, order, ties=ties, ascending=ascending, name=rn, balanced=False)
     out = out.filter(F.col(rn) == 1)
     return out.withColumnRenamed(rn, "rn") if keep_rn else out.drop(rn)
 

@@ -122,7 +122,8 @@ def report_contra(c: Ctx) -> DataFrame:
         F.col("credit_amount").alias("credit"), F.col("debit_amount").alias("debit"))
     # de-duplicate first, then number (numbering over duplicates removes nothing)
     m = number_rows(dedup(m), ["credit_client"], ["transactiondate", "timekey"],
-                    ties=[F.col(x).asc_nulls_last() for x in ("debit_account", "journalnumber", "credit")])
+                    ties=[F.col(x).asc_nulls_last() for x in ("debit_account", "journalnumber", "credit")],
+                    balanced=False)  # only rn = 1 is kept
     # the name test changes which row is first, so it stays above the window
     return m.filter((F.col("rn") == 1) & F.col("debit_name").contains("1"))
 

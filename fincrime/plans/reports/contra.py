@@ -141,7 +141,7 @@ def staff_from_stopped(wh: Warehouse, employer_like: str, as_of=None,
     rows = dedup(rows)
     ties = [F.col(c).asc_nulls_last() for c in OUTPUT if c not in ("cif_check_digit", "tran_date")]
     numbered = number_rows(rows, ["cif_check_digit"], ["tran_date", "__h", "__m"], ties=ties,
-                           name="__rn")
+                           name="__rn", balanced=False)  # only rn = 1 is kept
     out = numbered.filter((F.col("__rn") == 1) &
                           F.col("balance_employer_name").contains(employer_like))
     return out.select(*OUTPUT)
