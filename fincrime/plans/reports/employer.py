@@ -90,21 +90,39 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
         F.col("accountkey").alias("__fdk"), F.col("homebranchkey").alias("__hbk"))
     branch_all = wh["dimbranch"]
 
+    dp = wh["dimproduct"].select(F.col("productcode").alias("__pc"), "productgroupname")
     def branch(alias: str, cur: bool = False) -> DataFrame:
         b = scd2_current(branch_all) if cur else branch_all
         return b.select(F.col("branchkey").alias(f"__{alias}k"), F.col("branchname").alias(f"{alias}_name"),
                         F.col("branchcode").alias(f"{alias}_code"))
 
-    dp = wh["dimproduct"].select(F.col("productcode").alias("__pc"), "productgroupname")
-    # (loan INNER JOIN advance) as one right side: padded only when both miss
-    loan = wh["factloanaccountdailycoverage"].select(
+    # The loan and card facts are daily histories joined without a snapshot
+    # filter (as in the source), and only a few of their columns reach the
+    # DISTINCT result.  Each side is therefore reduced to DISTINCT (account key,
+    # the columns it contributes) before the left join: the same final rows,
+    # without multiplying every account by its history.
+    # (loan INNER JOIN advance) as one right side: padded only when both miss;
+    # its branch comes from the client summary of the loan's client.
+    # Only the accounts of the narrowed clients can reach the result.
+    cand = da_all.join(fc.join(dc.select("clientkey", F.col("cifnumber").alias("__cc")), "clientkey")
+                         .select("__cc"), F.col("clientnumber") == F.col("__cc"), "left_semi") \
+        .select(F.col("accountkey").alias("__cand"))
+    loan = wh["factloanaccountdailycoverage"].join(
+        cand, F.col("accountkey") == F.col("__cand"), "left_semi").select(
         F.col("accountkey").alias("__lk"), F.col("clientkey").alias("__lck"), "lastadvancedatekey")
     cap = wh["factcapout"].select(F.col("accountkey").alias("__capk"), "advanceamount")
-    loan_cap = loan.join(cap, F.col("__lk") == F.col("__capk")).drop("__capk")
     fcds = wh["factclientdailysummary"].select(F.col("clientkey").alias("__sck"), "lastloanbranchkey")
-    card = wh["factcreditcardaccountdailycoverage"].select(
-        F.col("accountkey").alias("__cck2"), "creditlimitamount", "accountopendatekey",
-        "openingbranchkey")
+    loan_side = dedup(
+        loan.join(cap, F.col("__lk") == F.col("__capk"))
+            .join(fcds, F.col("__sck") == F.col("__lck"), "left")
+            .join(branch("db"), F.col("__dbk") == F.col("lastloanbranchkey"), "left")
+            .select("__lk", "lastadvancedatekey", "advanceamount", "db_name", "db_code"))
+    card_side = dedup(
+        wh["factcreditcardaccountdailycoverage"]
+        .join(cand, F.col("accountkey") == F.col("__cand"), "left_semi")
+        .join(branch("db3", cur=True), F.col("__db3k") == F.col("openingbranchkey"), "left")
+        .select(F.col("accountkey").alias("__cck2"), "creditlimitamount", "accountopendatekey",
+                "db3_name", "db3_code"))
 
     j = (fc.join(dc, "clientkey")
            .join(mdc, F.col("__mcif") == F.col("cifnumber"))
@@ -117,11 +135,8 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
            .join(fd, F.col("__fdk") == F.col("__ak"), "left")
            .join(branch("db2"), F.col("__db2k") == F.col("__hbk"), "left")
            .join(dp, F.col("__pc") == fn.composite_key("accounttypecode", "accountcategorycode"))
-           .join(loan_cap, F.col("__lk") == F.col("__ak"), "left")
-           .join(fcds, F.col("__sck") == F.col("__lck"), "left")
-           .join(branch("db"), F.col("__dbk") == F.col("lastloanbranchkey"), "left")
-           .join(card, F.col("__cck2") == F.col("__ak"), "left")
-           .join(branch("db3", cur=True), F.col("__db3k") == F.col("openingbranchkey"), "left"))
+           .join(loan_side, F.col("__lk") == F.col("__ak"), "left")
+           .join(card_side, F.col("__cck2") == F.col("__ak"), "left"))
     emp_hit = F.col("employernumberwithcheckdigit").isin(search)
     acc_hit = F.col("__acc_no").isin(search)
     if faithful:
