@@ -747,7 +747,8 @@ def hour_label(c: Ctx) -> DataFrame:
 def accounts_of_client_key(c: Ctx) -> DataFrame:
     search = c.fx.fx_account.filter(F.col("accountstatusname") == "P").select("accountkey")
     acc = accounts_of_client(c.fx.fx_account, search).select("accountkey", "accountnumber")
-    newest = latest_per_key(dedup(c.fx.fx_daily), ["accountkey"], ["coveragedatekey"],
+    # (DISTINCT before the newest-row pick changes nothing: total tie order)
+    newest = latest_per_key(c.fx.fx_daily, ["accountkey"], ["coveragedatekey"],
                             ties=_DAILY_TIES).select(F.col("accountkey").alias("__a"),
                                                      "currentbalanceamount")
     return acc.join(newest, newest["__a"] == acc["accountkey"]) \

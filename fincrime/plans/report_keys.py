@@ -63,8 +63,10 @@ def report_aml(c: Ctx) -> DataFrame:
     acc = c.fx.fx_account
     clients = clients_of_accounts(acc, _searched_accounts(c).select("accountkey"))
     mine = acc.join(clients, "clientnumber", "left_semi")
-    daily = dedup(c.fx.fx_daily).select(F.col("accountkey").alias("__a"), "coveragedatekey",
-                                        "currentbalanceamount")
+    # DISTINCT before the newest-row pick is not needed: with a total tie
+    # order duplicates cannot change the rn = 1 row
+    daily = c.fx.fx_daily.select(F.col("accountkey").alias("__a"), "coveragedatekey",
+                                 "currentbalanceamount")
     dep = mine.filter(F.col("accountstatusname") == "F")
     dep = dep.join(daily, daily["__a"] == dep["accountkey"]).select(
         "clientnumber", "accountnumber", "currentbalanceamount", "coveragedatekey",

@@ -68,8 +68,9 @@ def client_accounts(wh: Warehouse, clients: DataFrame) -> DataFrame:
     dep = (da.join(fd, F.col("accountnumber") == F.col("__an"))
              .join(dp, F.col("__pk") == F.col("productkey"), "left")
              .join(db, F.col("__bk") == F.col("homebranchkey")))
-    dep = dedup(dep.select(*_ACCOUNT_COLS, "coveragedatekey",
-                           F.col("coveragedatekey").alias("__fd_key")))
+    # (the source groups these rows before numbering them; with a total tie
+    # order, duplicates cannot change which row is newest, so no DISTINCT)
+    dep = dep.select(*_ACCOUNT_COLS, "coveragedatekey", F.col("coveragedatekey").alias("__fd_key"))
 
     fl = wh["factloanaccountdailycoverage"].select("accountnumber", "productkey",
                                                    "originatingbranchkey", "coveragedatekey")
@@ -81,11 +82,11 @@ def client_accounts(wh: Warehouse, clients: DataFrame) -> DataFrame:
               .join(fd_match, F.col("__fda") == F.col("accountnumber"), "left")
               .join(dp, F.col("__pk") == F.col("productkey"), "left")
               .join(db, F.col("__bk") == F.col("originatingbranchkey")))
-    loan = dedup(loan.select(
+    loan = loan.select(
         "clientnumber",
         F.coalesce(F.col("__bal"), F.lit(0).cast("decimal(23,2)")).alias("currentbalanceamount"),
         *[c for c in _ACCOUNT_COLS if c not in ("clientnumber", "currentbalanceamount")],
-        "coveragedatekey", "__fd_key"))
+        "coveragedatekey", "__fd_key")
     return union_all(_newest(dep), _newest(loan)).select(*_ACCOUNT_COLS)
 
 
