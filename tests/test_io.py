@@ -35,3 +35,11 @@ def test_write_report_roundtrip(spark):
     back = spark.read.option("header", "true").csv(f"{out}/c")
     assert back.columns == ["k", "v"] and back.count() == 2
     assert any(n.endswith(".csv") for n in os.listdir(f"{out}/c"))
+
+
+def test_catalogue_on_uri_root_maps_declared_names(spark):
+    wh = Warehouse.from_parquet_root(spark, "s3a://bucket/warehouse/", names=["dimclient", "factclient"])
+    assert wh.has("core.DIMCLIENT") and wh.has("factclient") and not wh.has("dimcard")
+    assert wh._sources["dimclient"] == "s3a://bucket/warehouse/dimclient"
+    wh_all = Warehouse.from_parquet_root(spark, "hdfs://nn/warehouse")
+    assert wh_all.has("vwpost_tran_leg_internal") and wh_all.has("vwfacttransaction")
