@@ -338,7 +338,10 @@ def _emp_wh(spark):
             {**acc, "accountkey": 103, "accountnumber": "K0000001", "accountnumberwithcheckdigit": "K00000013",
              "clientnumber": "C0000001", "accounttypecode": "CC"},
             {**acc, "accountkey": 201, "accountnumber": "S0000002", "accountnumberwithcheckdigit": "S00000022",
-             "clientnumber": "C0000002", "accounttypecode": "SAV"}],
+             "clientnumber": "C0000002", "accounttypecode": "SAV"},
+            # a loan whose loan row has no advance: the (loan JOIN advance) side is padded whole
+            {**acc, "accountkey": 106, "accountnumber": "L0000006", "accountnumberwithcheckdigit": "L00000066",
+             "clientnumber": "C0000001", "accounttypecode": "LN"}],
         "dimclientcollections": [dict(clientcollectionskey=3, clientstatusname="None", rowiscurrent=1)],
         "factdepositaccountdailycoverage": [dict(accountkey=101, coveragedatekey=20240102, homebranchkey=2),
                                             dict(accountkey=101, coveragedatekey=20240101, homebranchkey=1)],
@@ -349,7 +352,8 @@ def _emp_wh(spark):
                        dict(productcode="LN|01", productgroupname="Loan"),
                        dict(productcode="CC|01", productgroupname="Credit Card")],
         "factloanaccountdailycoverage": [dict(accountkey=102, clientkey=1, lastadvancedatekey=20230505),
-                                         dict(accountkey=101, clientkey=1, lastadvancedatekey=20230101)],
+                                         dict(accountkey=101, clientkey=1, lastadvancedatekey=20230101),
+                                         dict(accountkey=106, clientkey=1, lastadvancedatekey=20230606)],
         "factcapout": [dict(accountkey=102, advanceamount=M(5000))],
         "factclientdailysummary": [dict(clientkey=1, lastloanbranchkey=1)],
         "factcreditcardaccountdailycoverage": [dict(accountkey=103, creditlimitamount=M(2000),
@@ -366,6 +370,7 @@ def test_employer_by_employer_number(spark):
         (None, "K00000013", "CARDBR", "C3", M(2000), D("2022-01-01"), "42 - T FORTYTWO", "1 RD",
          T("2019-01-01 00:00:00")),
         (None, "L00000012", "LOANBR", "L1", M(5000), D("2023-05-05"), "42 - T FORTYTWO", "1 RD", None),
+        (None, "L00000066", None, None, None, None, "42 - T FORTYTWO", "1 RD", None),
         ("S00000011", None, "DEPBR", "D2", None, None, "42 - T FORTYTWO", "1 RD", T("2019-01-01 00:00:00")),
     ]
 
