@@ -12,6 +12,7 @@ from fincrime import functions as fn
 from fincrime.operators import (dedup, first_per_key, latest_snapshot, scd2_current,
                                 semi_join_keys)
 from fincrime.plans.reports.common import to_date_value
+from fincrime.session import reuse
 from fincrime.sources.catalog import Warehouse
 
 REQUIRED = {
@@ -80,7 +81,9 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     Sorted by ID number, highest first."""
     wh.validate(REQUIRED)
     lo, hi = to_date_value(date_from), to_date_value(date_to)
-    awt = accounts_with_tellers(wh, accounts)
+    # read twice below (joined by client, and as the set of primary accounts);
+    # small: one row per searched client
+    awt = reuse(accounts_with_tellers(wh, accounts))
     fl = latest_snapshot(wh["factloanaccountdailycoverage"], "coveragedatekey")
     app_date = fn.date_from_key("lastadvancedatekey")
     fl = fl.filter(app_date.between(lo, hi))

@@ -82,3 +82,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage safely")
         spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """An intermediate that a plan reads more than once: written once to the
+    cluster's shared checkpoint folder when the session names one (a reliable
+    checkpoint, so later reads and recoveries never recompute it); without
+    one it stays plain lineage and is computed once per use."""
+    if checkpoint_dir(df.sparkSession):
+        return cut_lineage(df)
+    return df
