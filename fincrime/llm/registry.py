@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from fincrime.llm import mixing, quality_rules
+from fincrime.llm import mixing, quality_rules, reshard, secrets
 
 QUERIES = {
+    "op1_secret_ledger": secrets.op1,
+    "op4_min_cost_reshard": reshard.op4,
     "op6_hash_threshold_mix": mixing.op6,
     "op10_quality_rules": quality_rules.op10,
 }
