@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from fincrime.llm import mixing, quality_rules, reshard, secrets
+from fincrime.llm import line_dedup, mixing, quality_rules, reshard, secrets, warc
 
 QUERIES = {
     "op1_secret_ledger": secrets.op1,
+    "op3_line_dedup": line_dedup.op3,
     "op4_min_cost_reshard": reshard.op4,
     "op6_hash_threshold_mix": mixing.op6,
+    "op7_warc": warc.op7,
     "op10_quality_rules": quality_rules.op10,
 }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_line_dedup": line_dedup.op3_sql(),
         "op6_hash_threshold_mix": mixing.op6_sql(),
         "op10_quality_rules": quality_rules.op10_sql(),
     }
