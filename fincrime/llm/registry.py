@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from fincrime.llm import line_dedup, mixing, quality_rules, reshard, secrets, warc
+from fincrime.llm import line_dedup, metric_join, mixing, quality_classifier, quality_rules, reshard, secrets, warc
 
 QUERIES = {
     "op1_secret_ledger": secrets.op1,
     "op3_line_dedup": line_dedup.op3,
     "op4_min_cost_reshard": reshard.op4,
+    "op5_shrinkage_qda": quality_classifier.op5,
     "op6_hash_threshold_mix": mixing.op6,
     "op7_warc": warc.op7,
+    "op9_metric_range_join": metric_join.op9,
     "op10_quality_rules": quality_rules.op10,
 }
 
