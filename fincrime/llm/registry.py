@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from fincrime.llm import line_dedup, metric_join, mixing, quality_classifier, quality_rules, reshard, secrets, warc
+from fincrime.llm import dart_minhash, line_dedup, metric_join, mixing, quality_classifier, quality_rules, reshard, secrets, warc
 
 QUERIES = {
     "op1_secret_ledger": secrets.op1,
+    "op2_dart_minhash": dart_minhash.op2,
     "op3_line_dedup": line_dedup.op3,
     "op4_min_cost_reshard": reshard.op4,
     "op5_shrinkage_qda": quality_classifier.op5,
