@@ -65,10 +65,10 @@ def _only(text: Column, kept: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("long")
 
 
-def measured(df: DataFrame, id: str, text: str) -> DataFrame:
+def measured(df: DataFrame, id: str | Column, text: str) -> DataFrame:
     """``id`` with the measures of each whole text."""
     t = F.col("t")
-    d = df.select(F.col(id).alias("id"), whole(text).alias("t"))
+    d = df.select((F.col(id) if isinstance(id, str) else id).alias("id"), whole(text).alias("t"))
     d = d.select("id", "t", F.array_remove(F.split(t, BLANKS), "").alias("words"),
                  F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD)).alias("lines"))
     d = d.select(
@@ -116,6 +116,18 @@ def verdicts(df: DataFrame, id: str = "doc_id", text: str = "text", rules: Seque
     return d.withColumnRenamed("id", id)
 
 
+def kept_rows(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``df`` that are kept, with their columns; rows go through as
+    a whole, so they need no key and no join."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    kept = ~base_failed()
+    for r in rules:
+        kept = kept & r.passes()
+    # a row number in the projection keeps the filter above it: pushed below, it would repeat each measure
+    m = measured(df, row, text).withColumn("nth", F.monotonically_increasing_id())
+    return m.filter(kept & (F.col("nth") >= 0)).select("id.*")
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     from fincrime.llm.common import table
 

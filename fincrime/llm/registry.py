@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fincrime.llm import dart_minhash, line_dedup, metric_join, mixing, quality_classifier, quality_rules, reshard, secrets, warc
+from fincrime.llm import dart_minhash, line_dedup, metric_join, mixing, piece_codec, quality_classifier, quality_rules, reshard, secrets, warc
 
 QUERIES = {
     "op1_secret_ledger": secrets.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_shrinkage_qda": quality_classifier.op5,
     "op6_hash_threshold_mix": mixing.op6,
     "op7_warc": warc.op7,
+    "op8_streaming_viterbi": piece_codec.op8,
     "op9_metric_range_join": metric_join.op9,
     "op10_quality_rules": quality_rules.op10,
 }
