@@ -15,11 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many literal keys an IN list is used: it is pushed into the
-# parquet scan (row-group pruning).  Longer lists become a broadcast relation.
-IN_LIST_LIMIT = 1000
-
-
 def inline_relation(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """A literal relation (``VALUES`` / ``UNION ALL`` of constants)."""
     return spark.createDataFrame(list(rows), schema)
@@ -34,28 +29,30 @@ def semi_join_keys(df: DataFrame, col: str, keys: Sequence | DataFrame,
                    key_col: str | None = None) -> DataFrame:
     """Keep rows of ``df`` whose ``col`` is a search key.
 
-    ``keys`` is a literal list (any length) or a DataFrame (any size).
-    A set of one key gives the same rows as the scalar form ``col = key``,
-    and a key that maps to several rows never fails (unlike a scalar
-    subquery)."""
+    ``keys`` is a literal list or a DataFrame, each of any size, and takes one
+    path: keys are cast to the column's type (one that does not fit matches
+    nothing, nor does null) and semi-joined.  A set of one key gives the same
+    rows as the scalar form ``col = key``, and a key that maps to several rows
+    never fails (unlike a scalar subquery).  Spark broadcasts the keys if
+    their known size is under its threshold."""
     if isinstance(keys, DataFrame):
-        kc = key_col or keys.columns[0]
-        k = keys.select(F.col(kc).alias("__key"))
-        return df.join(k, df[col] == k["__key"], "left_semi")
-    keys = list(keys)
-    if len(keys) <= IN_LIST_LIMIT:
-        return df.filter(F.col(col).isin(keys))
-    dtype = df.schema[col].dataType.simpleString()
-    k = key_frame(df.sparkSession, keys, "__key", dtype)
-    return df.join(F.broadcast(k), df[col] == k["__key"], "left_semi")
+        k = keys.select(F.col(key_col or keys.columns[0]).alias("__key"))
+    else:
+        keys = [k for k in keys if k is not None]
+        mixed = len({type(k) for k in keys}) > 1
+        spark = df.sparkSession
+        k = spark.createDataFrame([(str(x) if mixed else x,) for x in keys], ["__key"]) if keys \
+            else spark.createDataFrame([], "__key string")
+    k = k.select(F.col("__key").try_cast(df.schema[col].dataType).alias("__key"))
+    return df.join(k, df[col] == k["__key"], "left_semi")
 
 
 def code_lookup(df: DataFrame, dim: DataFrame, left_on: str, code: str,
                 names: Sequence[str], current_only: bool = False,
                 flag: str = "rowiscurrent", how: str = "left",
                 rename: Mapping[str, str] | None = None) -> DataFrame:
-    """Join distinct (code, name...) pairs of a code table.  De-duplicating
-    first means a code listed twice never doubles the fact rows."""
+    """Join distinct (code, name...) rows of a code table.  A row listed twice
+    never doubles the fact rows; a code with two names does, as in the source."""
     d = dim.filter(F.col(flag) == 1) if current_only else dim
     rename = dict(rename or {})
     sel = [F.col(code).alias("__code")] + [F.col(n).alias(rename.get(n, n)) for n in names]

@@ -1,146 +1,39 @@
 """Row numbering per key that stays balanced when one key holds most rows.
 
-``Window.partitionBy(key).orderBy(...)`` with ``row_number`` sorts each key's
-rows inside one task, so a key with a third of the data is one straggler.
-Here the rows are range-partitioned on (key, order): a hot key is cut into
-consecutive ranges of its own order, spread over many tasks.  Each partition
-is numbered locally (rows arrive sorted; Arrow batches through
-``mapInPandas``, no shuffle), and a key that continues from earlier partitions
-gets the count of its rows there as an offset.  Only keys that cross a
-partition boundary can have an offset -- at most two per partition -- so the
-offset table is bounded by twice the partition count and is broadcast.
-
-The result equals ``row_number() over (partition by keys order by order)``
-for a total order (ties must be broken by the caller, as everywhere).
+``row_number`` over a key alone sorts each key's rows inside one task.  Here a
+key is cut into buckets by a value that grows with the order (its first column,
+timestamps by day): rows are numbered within (key, bucket), the rows of each
+bucket are counted, and the counts of the key's earlier buckets are added.  Only
+counts, a row a key and bucket, are ever brought together by key.
+
+All of it is built-in expressions, so every type keeps its values.  The result
+equals ``row_number() over (partition by keys order by order)`` for a total
+order (ties must be broken by the caller, as everywhere).
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark import StorageLevel, cloudpickle
-
-# The per-partition functions below run in Python workers.  Pickle this
-# module by value so they travel with the task: executors need not have the
-# package installed (only numpy/pandas, which Arrow UDFs need anyway).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_PID = "__pid"
-_LOCAL = "__local_rn"
-
-
-def _new_runs(keys_pdf: pd.DataFrame, carry: tuple | None) -> np.ndarray:
-    """For rows sorted by key: True where a row starts a new key run.
-    ``carry`` is the last key of the previous batch (None at the start of a
-    partition).  Null-safe; compares Python objects, so 64-bit keys are exact."""
-    n = len(keys_pdf)
-    same = np.ones(n, dtype=bool)
-    for i, c in enumerate(keys_pdf.columns):
-        cur = keys_pdf[c].to_numpy(dtype=object)
-        prev = np.empty(n, dtype=object)
-        prev[1:] = cur[:-1]
-        prev[0] = carry[i] if carry is not None else None
-        eq = np.array(cur == prev, dtype=bool) | (pd.isna(cur) & pd.isna(prev))
-        same &= eq
-    new = ~same
-    if carry is None and n:
-        new[0] = True
-    return new
-
-
-def _last_key(keys_pdf: pd.DataFrame) -> tuple:
-    return tuple(keys_pdf[c].to_numpy(dtype=object)[-1] for c in keys_pdf.columns)
-
-
-def _local_numbers(keys: Sequence[str]):
-    """Number rows within each key run of a sorted partition (carried across
-    Arrow batches)."""
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry, carry_n = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            k = pdf[list(keys)]
-            new = _new_runs(k, carry)
-            run_id = np.cumsum(new)             # 0 = continues the previous batch's run
-            local = pd.Series(run_id).groupby(run_id).cumcount().to_numpy() + 1
-            local[run_id == 0] += carry_n
-            carry, carry_n = _last_key(k), int(local[-1])
-            pdf[_LOCAL] = local.astype("int64")
-            yield pdf
-    return fn
-
-
-def _boundary_counts(keys: Sequence[str]):
-    """Per partition: the first and the last key run with their row counts
-    (one row when the partition holds a single run)."""
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid, runs = None, 0
-        first_key, first_n, last_key, last_n = None, 0, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            pid = int(pdf[_PID].iloc[0])
-            k = pdf[list(keys)]
-            new = _new_runs(k, last_key)
-            run_id = np.cumsum(new)
-            sizes = pd.Series(run_id).value_counts().sort_index()
-            if 0 in sizes.index:                # continuation of the open run
-                last_n += int(sizes.loc[0])
-                if runs == 1:                   # ... which is also the first run
-                    first_n = last_n
-            starts = np.flatnonzero(new)
-            if len(starts):
-                if runs == 0:
-                    first_key = tuple(k[c].to_numpy(dtype=object)[starts[0]] for c in keys)
-                    first_n = int(sizes.loc[1])
-                runs += len(starts)
-                last_key = _last_key(k)
-                last_n = int(sizes.loc[run_id[-1]])
-            if runs == 1:
-                first_n = last_n
-        if runs == 0:
-            return
-        out = [first_key + (pid, first_n)]
-        if runs > 1:
-            out.append(last_key + (pid, last_n))
-        yield pd.DataFrame(out, columns=list(keys) + [_PID, "__n"])
-    return fn
-
 
-def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                         name: str = "rn", partitions: int | None = None) -> DataFrame:
-    """``row_number()`` per ``keys`` in ``order`` (Columns with direction),
-    balanced across tasks even when one key holds most of the rows."""
-    keys = list(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key_sort = [F.col(k).asc_nulls_first() for k in keys]
-    # Both passes below must see the SAME range partitioning: two separate
-    # range exchanges would each sample their own boundaries.  The sorted,
-    # range-partitioned rows are therefore persisted once; a lost block is
-    # recomputed from the same shuffle dependency (same partitioner), so the
-    # result stays deterministic.
-    s = df.repartitionByRange(n, *key_sort, *order).sortWithinPartitions(*key_sort, *order) \
-          .withColumn(_PID, F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
-    key_fields = [df.schema[k] for k in keys]
-    bschema = T.StructType(key_fields + [T.StructField(_PID, T.IntegerType()),
-                                         T.StructField("__n", T.LongType())])
-    counts = s.select(*keys, _PID).mapInPandas(_boundary_counts(keys), bschema)
-    w = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"__o_{k}") for k in keys], F.col(_PID).alias("__o_pid"),
-                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
-    lschema = T.StructType(s.schema.fields + [T.StructField(_LOCAL, T.LongType())])
-    local = s.mapInPandas(_local_numbers(keys), lschema)
-    cond = [local[_PID] == offsets["__o_pid"]] + [local[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
-    # offsets: at most two rows per partition -> bounded, broadcast
-    j = local.join(F.broadcast(offsets), cond, "left")
-    rn = (F.col(_LOCAL) + F.coalesce(F.col("__offset"), F.lit(0))).cast("int")
-    return j.select(*df.columns, rn.alias(name))
+_BUCKET, _BEFORE = "__bucket", "__before"
+
+
+def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column,
+                         ascending: bool, name: str = "rn") -> DataFrame:
+    """``row_number()`` per ``keys`` in ``order`` (Columns with direction).
+
+    ``bucket`` must not decrease along the first column of ``order`` (not
+    increase, unless ``ascending``), with nulls last in both."""
+    d = df.withColumn(_BUCKET, bucket)
+    direction = F.col(_BUCKET).asc_nulls_last() if ascending else F.col(_BUCKET).desc_nulls_last()
+    earlier = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy(*keys, _BUCKET).agg(F.count("*").alias("__n"))
+    counts = counts.select(*[F.col(k).alias(f"__c_{k}") for k in [*keys, _BUCKET]],
+                           F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BEFORE))
+    local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, _BUCKET).orderBy(*order)))
+    same = [local[k].eqNullSafe(counts[f"__c_{k}"]) for k in [*keys, _BUCKET]]
+    rn = (F.col("__local") + F.col(_BEFORE)).cast("int")
+    return local.join(counts, same).select(*[local[c] for c in df.columns], rn.alias(name))

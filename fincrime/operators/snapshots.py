@@ -45,20 +45,24 @@ def _sort_cols(cols: Sequence[ColumnOrName], ascending: bool) -> list[Column]:
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName], *,
                 ties: Sequence[ColumnOrName], ascending: bool = False,
-                name: str = "rn", balanced: bool = True) -> DataFrame:
+                name: str = "rn", balanced: bool = True, bucket: Column | None = None) -> DataFrame:
     """``row_number()`` per key.  Names in ``order``/``ties`` sort in the
     given direction with nulls last; Columns keep their own direction.
     ``ties`` is required: pass the columns that make the order total (or an
     empty list when ``order`` is already unique per key).
 
     ``balanced=True`` (default) numbers every row without putting a whole key
-    in one task (see ``operators/numbering.py``).  Callers that only keep
-    ``rn = 1`` pass ``balanced=False``: the window plan then limits each key
-    to one row per map task before the shuffle, which is already balanced."""
+    in one task (see ``operators/numbering.py``); where ``order`` starts with a
+    Column, ``bucket`` names its value without direction.  Callers that only
+    keep ``rn = 1`` pass ``balanced=False``: the window plan then limits each
+    key to one row per map task before the shuffle, which is already balanced."""
     sort = _sort_cols(list(order) + list(ties), ascending)
-    if balanced:
+    first = order[0] if order else None
+    if bucket is None and isinstance(first, str):
+        bucket = F.to_date(first) if dict(df.dtypes)[first].startswith("timestamp") else F.col(first)
+    if balanced and bucket is not None:
         from fincrime.operators.numbering import number_rows_balanced
-        return number_rows_balanced(df, list(keys), sort, name=name)
+        return number_rows_balanced(df, list(keys), sort, bucket, ascending, name=name)
     w = Window.partitionBy(*[to_col(k) for k in keys]).orderBy(*sort)
     return df.withColumn(name, F.row_number().over(w))
 

@@ -399,9 +399,15 @@ def join_fact_fact(c: Ctx) -> DataFrame:
 
 @key("join_existence")
 def join_existence(c: Ctx) -> DataFrame:
-    # a left join whose columns are unused, under DISTINCT, changes nothing:
-    # it is left out (Catalyst would drop it too)
-    return dedup(c.t.customer.select("c_custkey"))
+    # the joined columns are unused: only whether and how often a row matches could matter, and DISTINCT takes that back
+    o = c.t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
+    return dedup(c.t.customer.join(o, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey"))
+
+
+@key("join_existence_inner")
+def join_existence_inner(c: Ctx) -> DataFrame:
+    # the inner form keeps the keys that match at all: a semi-join
+    return dedup(c.t.customer.join(c.t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey"))
 
 
 @key("join_on_scalar_subquery")
@@ -475,7 +481,7 @@ def win_rownum_asc(c: Ctx) -> DataFrame:
 def win_rownum_multi_order(c: Ctx) -> DataFrame:
     e = c.t.events
     return number_rows(e, ["user_id"], [F.to_date("ts").desc_nulls_last(), F.col("ts").desc_nulls_last()],
-                       ties=[F.col("event_id").asc_nulls_last()]).select("event_id", "rn")
+                       ties=[F.col("event_id").asc_nulls_last()], bucket=F.to_date("ts")).select("event_id", "rn")
 
 
 _DAILY_TIES = ["currentbalanceamount", "stopsonaccountcount"]

@@ -177,6 +177,7 @@ QUERIES: dict[str, str] = {
                        "l_orderkey=o_orderkey"),
     "join_existence": ("select distinct c_custkey from customer left join (select o_custkey,o_orderstatus "
                        "from orders group by 1,2) o on o_custkey=c_custkey"),
+    "join_existence_inner": "select distinct c_custkey from customer join orders on o_custkey=c_custkey",
     "join_on_scalar_subquery": ("select a.accountkey, d.currentbalanceamount from fx_account a join "
                                 "fx_daily d on d.accountkey=a.accountkey and d.coveragedatekey=(select "
                                 "max(coveragedatekey) from fx_daily)"),

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from fincrime.sources.schemas import relation_names, schema_of
 
 
-def _norm(name: str) -> str:
+def _short(name: str) -> str:
     return name.lower().split(".")[-1]
 
 
@@ -29,11 +29,18 @@ def lower_columns(df: DataFrame) -> DataFrame:
 
 
 class Warehouse:
-    """A set of named relations.  Sources are DataFrames or parquet paths."""
+    """A set of named relations.  Sources are DataFrames or parquet paths.
+
+    Names are case-insensitive and may carry a schema.  A name without one finds
+    a relation of any schema; where several schemas have it, that raises."""
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | str]):
         self.spark = spark
-        self._sources = {_norm(k): v for k, v in sources.items()}
+        self._sources: dict[str, DataFrame | str] = {}
+        for k, v in sources.items():
+            if k.lower() in self._sources:
+                raise ValueError(f"relation {k!r} is given twice")
+            self._sources[k.lower()] = v
         self._cache: dict[str, DataFrame] = {}
 
     @classmethod
@@ -54,14 +61,25 @@ class Warehouse:
                 sources[name] = f"{root}/{name}"
         return cls(spark, sources)
 
+    def _key(self, name: str) -> str | None:
+        """The full name of a relation: the name itself, else the one relation
+        of that short name whose schema is not contradicted."""
+        name = name.lower()
+        if name in self._sources:
+            return name
+        found = [k for k in self._sources if _short(k) == _short(name) and not ("." in k and "." in name)]
+        if len(found) > 1:
+            raise ValueError(f"relation {name!r} is ambiguous: {', '.join(sorted(found))}")
+        return found[0] if found else None
+
     def has(self, name: str) -> bool:
-        return _norm(name) in self._sources
+        return self._key(name) is not None
 
     def table(self, name: str) -> DataFrame:
-        key = _norm(name)
+        key = self._key(name)
+        if key is None:
+            raise KeyError(f"relation {name!r} is not in the catalogue")
         if key not in self._cache:
-            if key not in self._sources:
-                raise KeyError(f"relation {name!r} is not in the catalogue")
             src = self._sources[key]
             df = self.spark.read.parquet(src) if isinstance(src, str) else src
             self._cache[key] = lower_columns(df)

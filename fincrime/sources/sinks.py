@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                  partition_by: list[str] | None = None) -> None:
     """Write a report distributed (one file per task, no driver collect).
 

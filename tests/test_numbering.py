@@ -1,39 +1,53 @@
-"""Balanced row numbering equals the window's row_number, including a hot
-key, null keys, descending nulls-last orders and many Arrow batches."""
+"""Balanced row numbering equals the window's row_number: hot key, null keys,
+null and equal orders, and values that no other representation may touch."""
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fincrime.operators.numbering import number_rows_balanced
+from fincrime.operators import number_rows
 
 
-@pytest.mark.parametrize("seed,parts,batch", [(1, 16, 10000), (2, 3, 50), (3, 7, 7)])
-def test_balanced_equals_window(spark, seed, parts, batch):
+def same(df, keys, order, ties, ascending):
+    got = number_rows(df, keys, order, ties=ties, ascending=ascending)
+    cols = [F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last() for c in [*order, *ties]]
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*cols)))
+    assert got.schema == want.schema or [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan and "InMemory" not in plan
+
+
+@pytest.mark.parametrize("seed,ascending", [(1, True), (2, False)])
+def test_balanced_equals_window(spark, seed, ascending):
     rnd = random.Random(seed)
     rows = []
     for i in range(3000):
         k = 0 if rnd.random() < 0.6 else rnd.choice([1, 2, None, 4])
         rows.append((k, rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(0, 50)]), i))
     df = spark.createDataFrame(rows, "k int, g string, t int, id bigint")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    try:
-        for keys in (["k"], ["k", "g"]):
-            order = [F.col("t").desc_nulls_last(), F.col("id").asc()]
-            got = number_rows_balanced(df, keys, order, partitions=parts)
-            want = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_hot_key_spread_over_tasks(spark):
+    for keys in (["k"], ["k", "g"]):
+        same(df, keys, ["t"], ["id"], ascending)
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_every_value_is_kept(spark, ascending):
+    big, end = 2 ** 53, dt.datetime(9999, 12, 31)
+    rows = [(big + i % 3 if i % 5 else None, big + i, float("nan") if i % 4 else 1.5, end if i % 2 else None, i)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k bigint, v bigint, x double, t timestamp_ntz, id int")
+    same(df, ["k"], ["t"], ["id"], ascending)
+    same(df, ["k"], ["x"], ["id"], ascending)
+    same(df, ["k", "v"], ["id"], [], ascending)
+
+
+def test_hot_key_spread_over_buckets(spark):
     df = spark.range(20000).select(F.when(F.col("id") < 15000, 0).otherwise(F.col("id") % 10 + 1).alias("k"),
-                                   F.col("id").alias("t"))
-    out = number_rows_balanced(df, ["k"], [F.col("t").asc()], partitions=16)
-    tasks = out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert tasks >= 8  # the hot key is cut into ranges, not one task
+                                   (F.col("id") % 100).alias("t"), "id")
+    out = number_rows(df, ["k"], ["t"], ties=["id"], ascending=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bucket" in plan           # no window over all rows is by the key alone
     assert out.filter("k = 0").agg(F.max("rn")).first()[0] == 15000

@@ -136,3 +136,28 @@ def test_catalogue_validation(spark):
     w.validate({"dimclient": ["clientkey"]})
     with pytest.raises(ValueError):
         w.validate({"dimclient": ["birthdate"], "dimcard": ["cardkey"]})
+
+
+def test_search_keys_take_one_path_at_every_length(spark):
+    import datetime
+    from decimal import Decimal
+    df = spark.range(20).selectExpr("id as n", "cast(id as string) as s", "date_add(date'2024-01-01', cast(id as int)) as d",
+                                    "cast(id as decimal(12,2)) as m")
+    day = datetime.date(2024, 1, 4)
+    for extra in (0, 999, 1000, 4999):
+        more = [10 ** 6 + i for i in range(extra)]
+        for col, keys in (("n", [3, *more]), ("n", ["3", "x", *map(str, more)]), ("s", ["3", *map(str, more)]),
+                          ("s", [3, *more]), ("d", [day, *[day + datetime.timedelta(days=1000 + i) for i in range(extra)]]),
+                          ("d", [str(day), *["not a day"] * extra]), ("m", [Decimal(3), *map(Decimal, more)]), ("n", [None, 3, *more])):
+            assert [r["n"] for r in semi_join_keys(df, col, keys).collect()] == [3], (col, extra)
+    assert semi_join_keys(df, "n", []).count() == 0
+
+
+def test_catalogue_keeps_schemas_apart(spark):
+    from fincrime.sources import Warehouse
+    a, b = spark.range(1).toDF("a"), spark.range(1).toDF("b")
+    wh = Warehouse(spark, {"core.dimclient": a, "mis.DIMCLIENT": b, "core.x": a})
+    assert wh["core.DimClient"].columns == ["a"] and wh["mis.dimclient"].columns == ["b"] and wh["x"].columns == ["a"]
+    with pytest.raises(ValueError):
+        wh["dimclient"]
+    assert not wh.has("other.x")
