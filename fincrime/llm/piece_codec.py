@@ -131,6 +131,33 @@ def _path(back: deque, low: int, end: int, v: Vocabulary) -> list[int]:
     return ids[::-1]
 
 
+def _short(s: str, v: Vocabulary) -> list[int]:
+    """The same search for a stretch that fits the window: nothing to commit before its end."""
+    n, scores, prefixes, longest = len(s), v.scores.get, v.prefixes, v.longest
+    best: list = [None] * (n + 1)
+    back: list = [None] * (n + 1)
+    best[0] = 0.0
+    for start in range(n):
+        here = best[start]
+        if here is None:
+            continue
+        covered = False
+        for end in range(start + 1, min(n, start + longest) + 1):
+            piece = s[start:end]
+            found = scores(piece)
+            if found is not None:
+                if end == start + 1:
+                    covered = True
+                score = here + found[0]
+                if best[end] is None or score > best[end]:
+                    best[end], back[end] = score, (start, found[1])
+            if piece not in prefixes:
+                break
+        if not covered and (best[start + 1] is None or here + v.uncovered > best[start + 1]):
+            best[start + 1], back[start + 1] = here + v.uncovered, (start, s[start])
+    return _path(back, 0, n, v)
+
+
 def encode_whole(text: str, v: Vocabulary) -> list[int]:
     """``text`` in one search."""
     return [i for part in viterbi(MARK + text.replace(" ", MARK), v) for i in part] if text else []
@@ -145,8 +172,9 @@ class Codec:
     def stretch(self, s: str) -> np.ndarray:
         ids = self.table.get(s)
         if ids is None:
-            ids = np.array([i for part in viterbi(s, self.v) for i in part], dtype=np.int32)
-            if len(s) <= LONGEST:
+            short = len(s) <= min(LONGEST, 2 * self.v.longest)
+            ids = np.array(_short(s, self.v) if short else [i for part in viterbi(s, self.v) for i in part], dtype=np.int32)
+            if short:
                 if len(self.table) >= KEPT:
                     self.table.clear()
                 self.table[s] = ids
