@@ -66,8 +66,9 @@ class Vocabulary:
 def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
     """Ids of ``text`` (with marks), committed in parts as soon as they are final.
 
-    Of equal sums the one whose last piece starts earliest wins, so the result
-    does not depend on where parts are committed."""
+    Of equal sums the one whose last piece starts earliest wins.  The public
+    vocabulary's scores are whole numbers and sums are taken back to small ones
+    at each commit, so equal sums are equal wherever parts are committed."""
     n, longest = len(text), v.longest
     best: deque[float] = deque([0.0])           # scores of the boundaries low .. low + len(best) - 1
     back: deque = deque([None])                 # (start, ids) of the last piece
