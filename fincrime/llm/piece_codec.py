@@ -23,6 +23,7 @@ columns are never read.
 from __future__ import annotations
 
 import os
+from array import array
 from collections import deque
 from collections.abc import Iterator, Sequence
 
@@ -37,6 +38,7 @@ MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 KEPT = 500_000               # entries of the table of encoded stretches
 LONGEST = 64                 # characters of a stretch in it
+NONE = float("-inf")
 
 
 class Vocabulary:
@@ -51,8 +53,14 @@ class Vocabulary:
         self.uncovered = min((s for s, _ in self.scores.values() if s > -1e8), default=0.0) - 10.0
         self.decoded = [p.replace(MARK, " ").encode() if kind == "piece" else
                         bytes([int(p[3:5], 16)]) if kind == "byte" else b"" for p, _, kind in pieces]
-        #: prefixes of pieces: the search of longer pieces ends where none goes on
-        self.prefixes = {p[:n] for p in self.scores for n in range(1, len(p))}
+        #: pieces by their characters, each [score, id, what may follow]; a prefix that is no piece scores NONE
+        self.trie: dict[str, list] = {}
+        for p, (score, i) in self.scores.items():
+            at = self.trie
+            for c in p[:-1]:
+                entry = at.setdefault(c, [NONE, -1, None])
+                entry[2] = at = {} if entry[2] is None else entry[2]
+            at.setdefault(p[-1], [NONE, -1, None])[:2] = score, i
         self.mark_starts = not any(MARK in p.lstrip(MARK) for p in self.scores)
 
     @classmethod
@@ -76,16 +84,17 @@ def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
     for start in range(n):
         here = best[start - low]
         if here is not None:
-            covered = False
-            for end in range(start + 1, min(n, start + longest) + 1):
-                piece = text[start:end]
-                found = v.scores.get(piece)
-                if found is not None:
-                    covered |= end == start + 1
-                    _offer(best, back, low, end, here + found[0], start, found[1])
-                if piece not in v.prefixes:
+            at = v.trie
+            for end, c in enumerate(text[start:start + longest], start + 1):
+                found = at.get(c)
+                if found is None:
                     break
-            if not covered:
+                score, i, at = found
+                if score != NONE:
+                    _offer(best, back, low, end, here + score, start, i)
+                if at is None:
+                    break
+            if text[start] not in v.scores:
                 _offer(best, back, low, start + 1, here + v.uncovered, start, text[start])
         elif len(best) == start - low + 1:
             best.append(None)
@@ -134,29 +143,32 @@ def _path(back: deque, low: int, end: int, v: Vocabulary) -> list[int]:
 
 def _short(s: str, v: Vocabulary) -> list[int]:
     """The same search for a stretch that fits the window: nothing to commit before its end."""
-    n, scores, prefixes, longest = len(s), v.scores.get, v.prefixes, v.longest
-    best: list = [None] * (n + 1)
-    back: list = [None] * (n + 1)
-    best[0] = 0.0
+    n, trie, alone = len(s), v.trie, v.scores
+    best = [0.0] + [NONE] * n          # every boundary is reached: by a piece of one character or by its bytes
+    starts, pieces = [0] * (n + 1), [0] * (n + 1)
     for start in range(n):
-        here = best[start]
-        if here is None:
-            continue
-        covered = False
-        for end in range(start + 1, min(n, start + longest) + 1):
-            piece = s[start:end]
-            found = scores(piece)
-            if found is not None:
-                if end == start + 1:
-                    covered = True
-                score = here + found[0]
-                if best[end] is None or score > best[end]:
-                    best[end], back[end] = score, (start, found[1])
-            if piece not in prefixes:
+        here, at, end = best[start], trie, start
+        for c in s[start:]:
+            found = at.get(c)
+            if found is None:
+                break
+            score, i, at = found
+            end += 1
+            score += here
+            if score > best[end]:
+                best[end], starts[end], pieces[end] = score, start, i
+            if at is None:
                 break
-        if not covered and (best[start + 1] is None or here + v.uncovered > best[start + 1]):
-            best[start + 1], back[start + 1] = here + v.uncovered, (start, s[start])
-    return _path(back, 0, n, v)
+        if s[start] not in alone and here + v.uncovered > best[start + 1]:
+            best[start + 1], starts[start + 1], pieces[start + 1] = here + v.uncovered, start, -1
+    ids: list[int] = []
+    while n:
+        if pieces[n] < 0:
+            ids.extend(reversed([v.bytes[b] for b in s[n - 1].encode()]))
+        else:
+            ids.append(pieces[n])
+        n = starts[n]
+    return ids[::-1]
 
 
 def encode_whole(text: str, v: Vocabulary) -> list[int]:
@@ -164,49 +176,54 @@ def encode_whole(text: str, v: Vocabulary) -> list[int]:
     return [i for part in viterbi(MARK + text.replace(" ", MARK), v) for i in part] if text else []
 
 
+class Stretches(dict):
+    """Ids (as the bytes of int32) of stretches, each a mark and the key; short ones are kept."""
+
+    def __init__(self, v: Vocabulary):
+        super().__init__()
+        self.v, self.short = v, min(LONGEST, 2 * v.longest)
+
+    def __missing__(self, key: str) -> bytes:
+        s = MARK + key
+        if len(s) > self.short:
+            return array("i", [i for part in viterbi(s, self.v) for i in part]).tobytes()
+        if len(self) >= KEPT:
+            self.clear()
+        ids = self[key] = array("i", _short(s, self.v)).tobytes()
+        return ids
+
+
 class Codec:
     """Encodes texts stretch by stretch and decodes ids."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.table = v, {}
-
-    def stretch(self, s: str) -> np.ndarray:
-        ids = self.table.get(s)
-        if ids is None:
-            short = len(s) <= min(LONGEST, 2 * self.v.longest)
-            ids = np.array(_short(s, self.v) if short else [i for part in viterbi(s, self.v) for i in part], dtype=np.int32)
-            if short:
-                if len(self.table) >= KEPT:
-                    self.table.clear()
-                self.table[s] = ids
-        return ids
+        self.v, self.table = v, Stretches(v)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        marked = MARK + text.replace(" ", MARK)
         if not self.v.mark_starts:
-            return self.stretch(marked)
+            return np.array(encode_whole(text, self.v), np.int32)
+        parts = text.replace(MARK, " ").split(" ")
         # marks that follow each other stay together: pieces may be all marks
-        parts = [MARK + p for p in marked.split(MARK)[1:]]
-        if MARK in parts:
+        if "" in parts:
             parts = _joined(parts)
-        return np.concatenate(list(map(self.stretch, parts)))
+        return np.frombuffer(b"".join(map(self.table.__getitem__, parts)), np.int32)
 
     def decode(self, ids: Sequence[int]) -> str:
         return b"".join(map(self.v.decoded.__getitem__, ids)).decode()[1:]
 
 
 def _joined(parts: list[str]) -> list[str]:
-    """Lone marks put before what follows them."""
-    out, marks = [], ""
+    """Lone marks, the empty parts, put before what follows them; the first mark of a part is not written."""
+    out, lone = [], 0
     for p in parts:
-        if p == MARK:
-            marks += p
+        if p:
+            out.append(MARK * lone + p)
+            lone = 0
         else:
-            out.append(marks + p)
-            marks = ""
-    return out + [marks] if marks else out
+            lone += 1
+    return out + [MARK * (lone - 1)] if lone else out
 
 
 _codecs: dict[bytes, Codec] = {}
