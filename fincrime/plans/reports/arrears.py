@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fincrime import functions as fn
 from fincrime.operators import (dedup, first_per_key, latest_snapshot, scd2_current,
                                 semi_join_keys)
-from fincrime.plans.reports.common import to_date_value
+from fincrime.plans.reports.common import date_key, to_date_value
 from fincrime.session import reuse
 from fincrime.sources.catalog import Warehouse
 
@@ -86,7 +86,8 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     awt = reuse(accounts_with_tellers(wh, accounts))
     fl = latest_snapshot(wh["factloanaccountdailycoverage"], "coveragedatekey")
     app_date = fn.date_from_key("lastadvancedatekey")
-    fl = fl.filter(app_date.between(lo, hi))
+    # the range of the key reaches the scan; the date test drops keys that are no day
+    fl = fl.filter(F.col("lastadvancedatekey").between(date_key(lo), date_key(hi)) & app_date.isNotNull())
     # The searched clients are the most selective input: keep only their loan
     # rows before the wide joins (exact: the inner join with ``awt`` below
     # drops every other row anyway).
@@ -124,8 +125,15 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
                                                F.col("tellername").alias("__t2_name"))
     dcc = scd2_current(wh["dimclientcollections"]).select(
         F.col("clientcollectionskey").alias("__cck"), "clientstatusname")
+    # days as a range of the column itself, so that the scan sees it; outcomes of the searched
+    # clients only, before the scoring joins (exact: the join by CIF below drops the others)
+    searched_cif = scd2_current(wh["dimclient"]).join(
+        awt.select(F.col("cif").alias("__scif")), F.col("cifnumber") == F.col("__scif"), "left_semi") \
+        .select(F.col("cifwithcheckdigit").alias("__scw"))
     cao = wh["creditapplicationoutcome"].filter(
-        F.col("clienttype").isin(list(client_types)) & F.col("lrid_date").cast("date").between(lo, hi)) \
+        F.col("clienttype").isin(list(client_types)) & (F.col("lrid_date") >= F.lit(lo))
+        & (F.col("lrid_date") < F.date_add(F.lit(hi), 1))) \
+        .join(searched_cif, F.col("cifwithcheckdigit") == F.col("__scw"), "left_semi") \
         .select(F.col("cifwithcheckdigit").alias("__cao_cif"), "clienttype", "logical_record_id")
     sma = wh["dbo_smapplication"].select(F.col("logicalrecordid").alias("__sma"), "loanpurpose",
                                          "retailername")
