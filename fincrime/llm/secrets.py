@@ -1,7 +1,7 @@
 """Secret scans with an incremental ledger of blobs.
 
 A blob is a text under its SHA-256.  The ledger is two tables in a folder:
-``scanned`` (blob, rule_version) and ``findings`` (blob, kind, rank, start,
+``scanned`` (blob, rule_version) and ``findings`` (blob, rule_version, start,
 stop).  ``scan`` content-addresses every version of every path, scans only the
 pairs of blob and rule version that the ledger has not seen, appends them, and
 joins the findings back to all paths that hold the blob.
@@ -63,7 +63,7 @@ RULES = BASE + (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
 )
 
-FINDINGS = "blob string, kind string, rank int, start long, stop long"
+FINDINGS = "blob string, rule_version string, start long, stop long"
 SCANNED = "blob string, rule_version string"
 
 
@@ -78,14 +78,16 @@ def spans(text: str, rules: Sequence[Rule]) -> Iterator[tuple[int, int, int]]:
                 yield k, m.start(), m.end()
 
 
-def _scanner(rules: Sequence[Rule], ranks: Sequence[int]):
+def _scanner(rules: Sequence[Rule]):
+    versions = [r.version for r in rules]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("blob", pa.string()), ("kind", pa.string()), ("rank", pa.int32()),
+        schema = pa.schema([("blob", pa.string()), ("rule_version", pa.string()),
                             ("start", pa.int64()), ("stop", pa.int64())])
         for b in batches:
-            rows = [(blob.as_py(), rules[k].kind, ranks[k], i, j) for blob, text, todo in zip(*b.columns)
-                    for k, i, j in spans(text.as_py(), rules) if k in todo.as_py()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, schema.types)],
+            rows = [(blob.as_py(), versions[todo[k]], i, j) for blob, text, todo in zip(b.column(0), b.column(1), b.column(2).to_pylist())
+                    for k, i, j in spans(text.as_py(), [rules[x] for x in todo])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, schema.types)],
                                              schema=schema)
     return scan
 
@@ -128,7 +130,7 @@ def scan(versions: DataFrame, ledger: str, id: str = "doc_id", text: str = "text
     t = t.join(skip, ["id", "blob"], "left_anti").join(partly.drop("first"), "blob", "left")
     every = F.array(*map(F.lit, range(len(rules))))
     new = t.select("blob", "t", F.coalesce("todo", every).alias("todo")) \
-           .mapInArrow(_scanner(rules, list(range(len(rules)))), FINDINGS).distinct()
+           .mapInArrow(_scanner(rules), FINDINGS).distinct()
     # findings first: if the run dies between the two, the pairs are scanned again and found twice, which
     # distinct() below takes back
     new.write.mode("append").parquet(f"{ledger}/findings")
@@ -137,9 +139,11 @@ def scan(versions: DataFrame, ledger: str, id: str = "doc_id", text: str = "text
          .write.mode("append").parquet(f"{ledger}/scanned")
 
     # 4. findings back to all paths
-    kinds = [r.kind for r in rules]
-    found = _ledger(spark, ledger, "findings", FINDINGS).filter(F.col("kind").isin(kinds)).distinct() \
-        .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "stop"))).alias("found"))
+    # of the current versions only: what an older form of a rule found stays in the ledger, not in the result
+    rank = F.array_position(F.array(*map(F.lit, current)), F.col("rule_version")).cast("int") - 1
+    kind = F.get(F.array(*[F.lit(r.kind) for r in rules]), F.col("rank"))
+    found = _ledger(spark, ledger, "findings", FINDINGS).filter(F.col("rule_version").isin(current)).distinct() \
+        .withColumn("rank", rank).withColumn("kind", kind).groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "stop"))).alias("found"))
     found = written(found.join(ids.select("blob").distinct(), "blob", "left_semi"), "secret-found")
     f = found.select(F.col("blob").alias("b"), "found")
     none = F.array().cast(T.ArrayType(T.StructType.fromDDL("start long, rank int, kind string, stop long")))
