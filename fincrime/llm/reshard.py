@@ -8,9 +8,10 @@ Blocks of documents then fill these amounts, and only the files of shards that
 lose or gain a block are written again.
 
 Scale: Spark sums sizes by block; the driver sees one row a block, at most
-``old * BLOCKS * (1 + FINER)`` however large the input.  Equal texts share a
-block and stay together; only a block over a part of a shard's capacity (a hot
-group of copies) is cut into finer ones by id.  The table of blocks, under the
+``3 * old * BLOCKS + 2 * PART * new`` however large the input.  Equal texts share a
+block and stay together; only a block over a part of a shard's bytes or rows (a
+hot group of copies, or of rows without a text) is cut by id, into parts of
+about a mean block's size.  The table of blocks, under the
 same bound, is broadcast; slots are numbered in each block and shifted by the
 block's offset, so that no task holds a shard.
 
@@ -32,7 +33,6 @@ from fincrime.llm.common import table, whole, written
 
 OLD, NEW = 12, 16
 BLOCKS = 1024                # of an old shard
-FINER = 64                   # parts of a block that is too large
 PART = 8                     # too large: over 1 / PART of a new shard
 
 
@@ -114,14 +114,14 @@ def plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame]:
     """``sizes`` (id, size, old, block) with ``key`` (block or part of one),
     and the table of (old, key) -> shard, offset."""
     spark = sizes.sparkSession
-    sums = sizes.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
-    sums = written(sums, "reshard-blocks")
-    total = sums.agg(F.sum("bytes")).first()[0] or 0
-    big = sums.filter(F.col("bytes") * (PART * new) > total).select("old", "block", F.lit(True).alias("big"))
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FINER))
+    sums = written(sizes.groupBy("old", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "reshard-blocks")
+    total, rows = (x or 0 for x in sums.agg(F.sum("bytes"), F.sum("n")).first())
+    # at most PART * new blocks are large by bytes and as many by rows; their shares sum to 1 each
+    share = F.greatest(F.col("bytes") / F.lit(total or 1), F.col("n") / F.lit(rows or 1))
+    big = sums.filter(share * (PART * new) > 1).select("old", "block", F.ceil(share * (old * BLOCKS)).alias("parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")) + 1
     s = sizes.join(F.broadcast(big), ["old", "block"], "left") \
-        .withColumn("key", F.col("block") * FINER * 2 + F.when(F.col("big"), part + FINER).otherwise(F.lit(0))) \
-        .drop("big", "block")
+        .withColumn("key", F.col("block") * (old * BLOCKS + 1) + F.coalesce(part, F.lit(0))).drop("parts", "block")
     rows = s.groupBy("old", "key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     room = [total // new + (j < total % new) for j in range(new)]
     of = [0] * old
@@ -145,7 +145,7 @@ def reshard(df: DataFrame, id: str = "doc_id", text: str = "text", old: int = OL
         old_shard(t, old).alias("old"),
         F.pmod(F.floor(h / F.lit(old)).cast("long"), F.lit(BLOCKS)).cast("long").alias("block")), "reshard-sizes")
     s, places = plan(sizes, old, new)
-    # at most old * BLOCKS rows, and FINER for each of at most PART * new blocks
+    # at most a row a block and part, see above
     d = s.join(F.broadcast(places), ["old", "key"])
     slot = F.col("offset") + F.row_number().over(Window.partitionBy("old", "key").orderBy("id", "crc")) - 1
     return d.select(F.col("id").alias(id), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"),
