@@ -98,6 +98,11 @@ def test_reshard(spark, tmp_path):
         t = next(t for i, t, _ in rows if i == r["doc_id"]) or ""
         assert (r["size"], r["text_crc32"]) == (len(t.encode()) + 1, zlib.crc32(t.encode()))
     assert reshard.reshard(docs(spark, [])).count() == 0
+    # rows without a text are few bytes, and still no single block when they are many
+    sizes = spark.range(3001).selectExpr("id", "if(id = 3000, 1000000, 1)::bigint as size", "0 as old", "if(id = 3000, 6, 5)::bigint as block")
+    parts, places = reshard.plan(sizes, 12, 16)
+    assert parts.groupBy("old", "key").count().agg({"count": "max"}).first()[0] < 50
+    assert places.count() <= 3 * 12 * reshard.BLOCKS + 2 * reshard.PART * 16
     reshard.rewrite(d, reshard.reshard(d), str(tmp_path / "out"))
     touched = {s for r in got if r["shard"] != r["old_shard"] for s in (r["shard"], r["old_shard"])}
     back = spark.read.parquet(str(tmp_path / "out"))
@@ -119,6 +124,10 @@ def test_secrets_ledger(spark):
     newer = secrets.RULES + (secrets.Rule("word", "editor"),)
     secrets.scan(docs(spark, rows), path, rules=newer).count()
     assert spark.read.parquet(f"{path}/scanned").count() == scanned + len(secrets.RULES) + scanned // len(secrets.RULES)
+    # a rule that changed under its kind: what its older form found no longer shows
+    changed = (secrets.Rule("assign", "never there"),) + secrets.RULES[1:]
+    found = {r["doc_id"]: [(x["kind"], x["start"]) for x in r["found"]] for r in secrets.scan(docs(spark, rows), path, rules=changed).collect()}
+    assert found[20] == [("access", 27)] and found[21] == [("hex", 22)]
     assert secrets.scan(docs(spark, []), shared_path(spark, "ledger")).count() == 0
 
 
