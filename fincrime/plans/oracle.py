@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from fincrime.plans.full_oracle import full_report_sql
+
 # Derived views, in dependency order.
 FX_VIEWS: dict[str, str] = {
     "fx_client": (
@@ -398,4 +400,4 @@ def with_views(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: with_views(v) for k, v in QUERIES.items()}
+    return {k: with_views(v) for k, v in QUERIES.items()} | full_report_sql()

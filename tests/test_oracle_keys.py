@@ -33,7 +33,7 @@ def test_key_matches_oracle_small(spark, con_small, name):
     assert ok, detail
 
 
-@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k.startswith("report_")))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k.startswith(("report_", "full_"))))
 def test_report_key_matches_oracle_check_size(spark, con_check, name):
     ok, n, _, detail = compare(spark, con_check, name, QUERIES[name], ORACLE[name], SF_CHECK)
     assert ok, detail
