@@ -193,7 +193,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """One row a record of the archives under ``path``, segments put together:
     DECODED.  Continuations without their first segment are ``incomplete``."""
     segments = spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parser, SEGMENTS)
-    segments = written(segments, "warc-segments")
+    # the archives are in the shared folder already: parsing them twice costs less than another copy of all blocks
     alone = segments.filter("number = 0")
     parts = segments.filter("number > 0").groupBy("origin").applyInPandas(reassembled, DECODED)
     return alone.mapInPandas(_decoder, DECODED).unionByName(parts)
