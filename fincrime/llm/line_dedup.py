@@ -6,6 +6,12 @@ under several addresses says nothing about a template, and its lines would
 otherwise be lost from all of its copies.  Lines of at least ``MIN_PAGES``
 pages only: on a host of a few pages every line is frequent.
 
+``RATIO`` follows measured shares.  On sf0.1 (20 sources of 500 documents) 98 %
+of the (source, line) pairs are on one page and 396 of 85,396 on five or more.
+The most common sentence is on 8.7 to 13.2 % of a source's pages, the next four
+on 1.4 to 4.6 %, so a ratio of 10 % lets one sentence go, and in 12 sources only.
+More than 1 % is six pages there, which all of the first five have everywhere.
+
 Scale: lines travel as hashes (the host, 8 bytes of line, 8 bytes of text) and
 are made distinct in the tasks before the shuffle; counts are summed likewise,
 so a hot host or line costs no more than any other.  Each boilerplate line of a
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fincrime.llm.common import WORD, table, whole, written
 
-RATIO = 0.10
+RATIO = 0.01
 MIN_PAGES = 5
 
 

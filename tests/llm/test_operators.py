@@ -63,6 +63,21 @@ def test_lines(spark):
     assert line_dedup.clean(docs(spark, rows)).count() == len(rows) and line_dedup.clean(docs(spark, [])).count() == 0
 
 
+def test_default_ratio_drops_planted_lines_and_keeps_clean_ones(spark):
+    """1,000 pages of a hot source: templates on 9, 3 and 1.2 % of them go, lines
+    on 1 % and on one page stay; a small source keeps what is on 4 of its 20 pages."""
+    def page(i):
+        often = [f"template {n}" for n, step in (("nine", 11), ("three", 33), ("one", 80)) if i % step == 0]
+        return "\n".join([f"own {i}", *often, *["rare"] * (i % 100 == 7), f"end {i}"])
+    rows = [(i, page(i), "hot") for i in range(1000)] + \
+           [(2000 + i, f"page {i}" + "\nfour pages" * (i < 4) + "\nsix pages" * (i < 6), "small") for i in range(20)]
+    got = {r["doc_id"]: r for r in line_dedup.clean(docs(spark, rows)).collect()}
+    for i, t, s in rows:
+        gone = ("template", "six pages")
+        kept = [x for x in t.split("\n") if not x.startswith(gone)]
+        assert (got[i]["text"], got[i]["__lines_dropped"]) == ("\n".join(kept), t.count("\n") + 1 - len(kept)), i
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, prose(i, 20 + i % 7), "abc"[i % 3] if i % 10 else None) for i in range(600)] + ODD
     got = mixing.mix(docs(spark, rows)).collect()
