@@ -40,9 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: a document comes as often as the mix takes it."""
-    copies = mixing.mix(docs).select("doc_id", "source", "copies").filter("copies > 0").distinct().alias("m")
-    d = docs.alias("d")
-    j = d.join(copies, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
+    copies = mixing.mix(docs).select("h", "source", "copies").filter("copies > 0").distinct().alias("m")
+    d = docs.withColumn("h", mixing.hash_with_text("doc_id", "text")).alias("d")
+    j = d.join(copies, (F.col("d.h") == F.col("m.h")) & F.col("d.source").eqNullSafe(F.col("m.source")))
     return j.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"d.{c}") for c in COLUMNS])
 
 

@@ -5,9 +5,16 @@ Every document gets a fixed 60-bit hash.  A source takes each of its documents
 threshold.  The threshold comes from histograms: words by source and hash
 bucket, the running sum finds the bucket in which the budget ends, and only
 the documents of that boundary bucket are counted again in finer buckets, until
-it holds a single hash.  Documents are never sorted, and the result is the
+it holds a single hash.  Documents are never sorted, and the first result is the
 longest prefix in hash order that stays within the budget.
 
+One long document at the boundary leaves much of a budget, so ``mix`` goes on:
+in each pass those of the documents after the boundary that are at most half of
+what is left give another prefix, until none is that small; a pass leaves less
+than half.  Then the one document whose size is nearest to the rest is taken if
+that brings the words nearer to the target, from below or above.  ``op6`` keeps
+the prefix alone, which its SQL states.
+
 Scale: the histogram has at most ``2 ** BITS`` rows a source and is summed
 before the shuffle, so a hot source costs no more than any other; the
 documents meet the thresholds (a row a source) in a join that Spark broadcasts
@@ -16,7 +23,9 @@ configuration and is ranked as a whole.
 
 Defined results: null text has size 0; a source of null is a source of its own
 and comes last; a source of size 0 takes nothing; repeated rows have one hash
-and are taken together or not; an empty table gives an empty mix.
+and are taken together or not (the last 20 bits are of the text, so null and
+repeated ids of different texts have hashes of their own; ``op6`` uses the id
+alone); an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -41,8 +50,14 @@ def hash60(id: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def sized(df: DataFrame, id: str, text: str, source: str) -> DataFrame:
-    return df.select(F.col(id).alias("id"), F.col(source).alias("source"), hash60(id).alias("h"),
+def hash_with_text(id: str, text: str) -> Column:
+    """``hash60`` with its last 20 bits replaced by 20 of the text's MD5."""
+    own = F.conv(F.substring(F.md5(whole(text)), 1, 5), 16, 10).cast("long")
+    return F.shiftleft(F.shiftright(hash60(id), 20), 20) + own
+
+
+def sized(df: DataFrame, id: str, text: str, source: str, h: Column | None = None) -> DataFrame:
+    return df.select(F.col(id).alias("id"), F.col(source).alias("source"), (hash60(id) if h is None else h).alias("h"),
                      F.regexp_count(whole(text), F.lit(WORD)).cast("long").alias("size"))
 
 
@@ -78,6 +93,13 @@ def thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     g = goal.withColumn("whole", whole_copies.cast("long")) \
             .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")) \
             .withColumn("below", F.lit(0).cast("long"))
+    return _prefix(sizes, g)
+
+
+def _prefix(sizes: DataFrame, g: DataFrame) -> DataFrame:
+    """``g`` with ``below`` after the longest prefix within ``left``, and what is
+    left then; ``below`` is 0 in ``g``, and ``2 ** (BITS * LEVELS)`` if all fit."""
+    keys = [c for c in g.columns if c not in ("left", "below")]
     for level in range(1, LEVELS + 1):
         width = 1 << (BITS * (LEVELS - level))
         inside = g.select(F.col("source").alias("s"), F.col("below").alias("low"))
@@ -92,12 +114,11 @@ def thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
         h, k = hist.alias("h"), g.alias("k")
         joined = k.join(h, F.col("k.source").eqNullSafe(F.col("h.source")), "left")
         fits = F.col("h.upto") <= F.col("k.left")
-        keys = ["source", "weight", "source_size", "target", "whole", "left"]
-        g = joined.groupBy(*[F.col(f"k.{c}").alias(c) for c in keys]).agg(
+        g = joined.groupBy(*[F.col(f"k.{c}").alias(c) for c in [*keys, "left"]]).agg(
             F.coalesce(F.max(F.when(fits, F.col("h.upto"))), F.lit(0)).alias("taken"),
             F.min(F.when(~fits, F.struct("h.bucket", "h.first", "h.last"))).alias("edge"),
             F.max("k.below").alias("before"))
-        g = g.select(*keys[:-1], (F.col("left") - F.col("taken")).alias("left"),
+        g = g.select(*keys, (F.col("left") - F.col("taken")).alias("left"),
                      # none is over the edge: everything up to the end of the bucket before
                      F.coalesce(F.col("edge.bucket") * F.lit(width),
                                 F.col("before") + F.lit(width << BITS)).alias("below"),
@@ -106,23 +127,69 @@ def thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
         if not g.filter("open").head(1):
             break
         g = g.drop("open")
-    return g
+    return g.drop("open")
+
+
+def _once_more(size: str) -> Column:
+    """Whether the prefix, a pass or the last choice takes a hash once more."""
+    passes = F.exists("passes", lambda x: (F.col("h") >= x["low"]) & (F.col("h") < x["high"]) & (F.col(size) <= x["most"]))
+    return (F.col("h") < F.col("first")) | (passes & (F.col(size) > 0)) | F.coalesce(F.col("h") == F.col("extra"), F.lit(False))
+
+
+def refined(units: DataFrame, g: DataFrame) -> DataFrame:
+    """``thresholds``' result with ``first`` (its ``below``), ``passes`` and
+    ``extra``, see ``_once_more``.  ``units`` has a row a source and hash.
+
+    A pass takes over half of what is left or all that it admits, so passes are
+    at most the binary digits of the largest unit."""
+    # without a budget the prefix has documents of size 0 only, and they are not taken beyond the whole copies
+    budget = F.col("target") > F.col("whole") * F.col("source_size")
+    g = g.withColumn("first", F.when(budget, F.col("below")).otherwise(F.lit(0))) \
+         .withColumn("passes", F.array().cast("array<struct<low:long,high:long,most:double>>"))
+    keys = [c for c in g.columns if c not in ("left", "below", "passes")]
+    while True:
+        g = g.withColumn("low", F.col("below")).withColumn("most", F.col("left") / 2)
+        k = g.select(F.col("source").alias("s"), "low", "most")
+        rows = units.join(k, units["source"].eqNullSafe(k["s"])) \
+                    .filter((F.col("h") >= F.col("low")) & (F.col("size") <= F.col("most")) & (F.col("size") > 0)) \
+                    .select("source", "h", "size")
+        if not rows.head(1):
+            break
+        g = _prefix(rows, g.withColumn("below", F.lit(0).cast("long"))).select(
+            *keys, "left", "below", F.concat("passes", F.array(F.struct(
+                "low", F.col("below").alias("high"), "most"))).alias("passes"))
+    g = g.drop("low", "most")
+    k = g.select(F.col("source").alias("s"), "left", "first", "passes", F.lit(None).cast("long").alias("extra"))
+    away = F.abs(F.col("left") - F.col("size"))
+    best = units.join(k, units["source"].eqNullSafe(k["s"])).filter(~_once_more("size") & (away < F.col("left"))) \
+                .groupBy("source").agg(F.min(F.struct(away.alias("away"), "h")).alias("best")) \
+                .select(F.col("source").alias("s"), F.col("best.h").alias("extra"))
+    return written(g.join(best, g["source"].eqNullSafe(best["s"]), "left").drop("s"), "mix-refined")
 
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
-        weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+        weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST, nearest: bool = True) -> DataFrame:
     """One row a document: ``size``, ``source_size``, ``target`` of its source
-    and ``copies`` that the mix takes of it."""
-    sizes = written(sized(df, id, text, source), "mix-sizes")
+    and ``copies`` that the mix takes of it; ``h`` is its hash.  With ``nearest``
+    the mix goes on after the prefix, see above."""
+    sizes = written(sized(df, id, text, source, hash_with_text(id, text) if nearest else None), "mix-sizes")
     goal = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    cut = thresholds(sizes, goal).select(F.col("source").alias("s"), "source_size", "target", "whole", "below")
-    copies = F.col("whole") + (F.col("h") < F.col("below")).cast("long")
-    return sizes.join(cut, sizes["source"].eqNullSafe(cut["s"])) \
-                .select(F.col("id").alias(id), "source", "size", "source_size", "target", copies.alias("copies"))
+    cut = thresholds(sizes, goal)
+    out = [F.col("id").alias(id), "source", "size", "source_size", "target", "copies", "h"]
+    if not nearest:
+        cut = cut.select(F.col("source").alias("s"), "source_size", "target", "whole", "below")
+        copies = F.col("whole") + (F.col("h") < F.col("below")).cast("long")
+        return sizes.join(cut, sizes["source"].eqNullSafe(cut["s"])).withColumn("copies", copies).select(*out)
+    units = written(sizes.groupBy("source", "h").agg(F.sum("size").alias("size")), "mix-units")
+    cut = refined(units, cut).select(F.col("source").alias("s"), "source_size", "target", "whole", "first", "passes", "extra")
+    u = units.join(cut, units["source"].eqNullSafe(cut["s"])) \
+             .select(F.col("source").alias("s"), F.col("h").alias("uh"), "source_size", "target",
+                     (F.col("whole") + _once_more("size").cast("long")).alias("copies"))
+    return sizes.join(u, (F.col("h") == F.col("uh")) & F.col("source").eqNullSafe(F.col("s"))).select(*out)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select(
+    return mix(table(spark, sf_dir, "documents"), nearest=False).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
