@@ -5,7 +5,9 @@ one).  Sizes of the old shards and capacities of the new ones make a transport
 problem in which a byte that stays costs nothing and a byte that moves costs
 one; its solution says how many bytes go from each old to each new shard.
 Blocks of documents then fill these amounts, and only the files of shards that
-lose or gain a block are written again.
+lose or gain a block are written again; a shard that loses all goes.  ``op4``
+writes the layout before to the shared folder, changes it there and returns what
+it reads from the files.
 
 Scale: Spark sums sizes by block; the driver sees one row a block, at most
 ``3 * old * BLOCKS + 2 * PART * new`` however large the input.  Equal texts share a
@@ -13,23 +15,27 @@ block and stay together; only a block over a part of a shard's bytes or rows (a
 hot group of copies, or of rows without a text) is cut by id, into parts of
 about a mean block's size.  The table of blocks, under the
 same bound, is broadcast; slots are numbered in each block and shifted by the
-block's offset, so that no task holds a shard.
+block's offset, so that no task holds a shard.  Texts are read and written where
+they are: they meet the table of blocks and are not shuffled.
 
 Defined results: a null text has size 1, like an empty one; null ids and
 repeated rows get places of their own; an empty table gives an empty one; an
 item larger than a capacity makes its shard larger by that much; other columns
-are never read.
+only go along into the files (``shard`` is the name of the folders' column).
+Between the commit of new files and the removal of emptied shards a reader can
+see the documents of these twice.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from fincrime.llm.common import table, whole, written
+from fincrime.llm.common import shared_path, table, whole, written
 
 OLD, NEW = 12, 16
 BLOCKS = 1024                # of an old shard
@@ -110,19 +116,21 @@ def old_shard(text: Column, old: int) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(old)).cast("int")
 
 
-def plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame]:
-    """``sizes`` (id, size, old, block) with ``key`` (block or part of one),
-    and the table of (old, key) -> shard, offset."""
-    spark = sizes.sparkSession
+def keyed(df: DataFrame, big: DataFrame, old: int) -> DataFrame:
+    """``df`` (id, old, block) with ``key``, block or part of one, for ``block``."""
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")) + 1
+    return df.join(F.broadcast(big), ["old", "block"], "left") \
+             .withColumn("key", F.col("block") * (old * BLOCKS + 1) + F.coalesce(part, F.lit(0))).drop("parts", "block")
+
+
+def _plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
+    """The table of cut blocks, and a row (old, key, shard, offset) a block or part."""
     sums = written(sizes.groupBy("old", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "reshard-blocks")
     total, rows = (x or 0 for x in sums.agg(F.sum("bytes"), F.sum("n")).first())
     # at most PART * new blocks are large by bytes and as many by rows; their shares sum to 1 each
     share = F.greatest(F.col("bytes") / F.lit(total or 1), F.col("n") / F.lit(rows or 1))
     big = sums.filter(share * (PART * new) > 1).select("old", "block", F.ceil(share * (old * BLOCKS)).alias("parts"))
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")) + 1
-    s = sizes.join(F.broadcast(big), ["old", "block"], "left") \
-        .withColumn("key", F.col("block") * (old * BLOCKS + 1) + F.coalesce(part, F.lit(0))).drop("parts", "block")
-    rows = s.groupBy("old", "key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+    rows = keyed(sizes, big, old).groupBy("old", "key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     room = [total // new + (j < total % new) for j in range(new)]
     of = [0] * old
     for r in rows:
@@ -134,39 +142,101 @@ def plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame]:
         j = place[r["old"], r["key"]]
         table_.append((r["old"], r["key"], j, ends[j]))
         ends[j] += r["n"]
-    return s, spark.createDataFrame(table_, "old int, key long, shard int, offset long")
+    return big, table_
 
 
-def reshard(df: DataFrame, id: str = "doc_id", text: str = "text", old: int = OLD, new: int = NEW) -> DataFrame:
-    """One row a document: ``size``, ``text_crc32``, ``old_shard``, ``shard``, ``slot``."""
-    t, h = whole(text), F.xxhash64(whole(text))
-    sizes = written(df.select(
+PLACES = "old int, key long, shard int, offset long"
+
+
+def plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame]:
+    """``sizes`` (id, size, old, block) with ``key`` (block or part of one),
+    and the table of (old, key) -> shard, offset."""
+    big, places = _plan(sizes, old, new)
+    return keyed(sizes, big, old), sizes.sparkSession.createDataFrame(places, PLACES)
+
+
+def _block(text: Column, old: int) -> Column:
+    return F.pmod(F.floor(F.xxhash64(text) / F.lit(old)).cast("long"), F.lit(BLOCKS)).cast("long")
+
+
+def measured(df: DataFrame, id: str, text: str, old: int, *more: str) -> DataFrame:
+    """id, size, crc, old and block of each document."""
+    t = whole(text)
+    return df.select(
+        *more,
         F.col(id).alias("id"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("crc"),
-        old_shard(t, old).alias("old"),
-        F.pmod(F.floor(h / F.lit(old)).cast("long"), F.lit(BLOCKS)).cast("long").alias("block")), "reshard-sizes")
-    s, places = plan(sizes, old, new)
+        old_shard(t, old).alias("old"), _block(t, old).alias("block"))
+
+
+def reshard(df: DataFrame, id: str = "doc_id", text: str = "text", old: int = OLD, new: int = NEW) -> DataFrame:
+    """One row a document: ``size``, ``text_crc32``, ``old_shard``, ``shard``, ``slot``, as planned."""
+    s, places = plan(written(measured(df, id, text, old), "reshard-sizes"), old, new)
     # at most a row a block and part, see above
-    d = s.join(F.broadcast(places), ["old", "key"])
+    return _slots(s.join(F.broadcast(places), ["old", "key"]), id)
+
+
+def _slots(d: DataFrame, id: str) -> DataFrame:
     slot = F.col("offset") + F.row_number().over(Window.partitionBy("old", "key").orderBy("id", "crc")) - 1
     return d.select(F.col("id").alias(id), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"),
                     "shard", slot.cast("long").alias("slot"))
 
 
+def _replace(d: DataFrame, moves: Iterable[tuple[int, int]], path: str) -> None:
+    """Writes the rows of ``d`` in touched shards as these shards' only files.
+    ``moves``: every (old shard, shard) that has rows.  An emptied shard has no
+    rows to replace its folder, which is removed."""
+    moves = set(moves)
+    touched = {j for m in moves if m[0] != m[1] for j in m}
+    if not touched:
+        return
+    d.filter(F.col("shard").isin(sorted(touched))).write.partitionBy("shard").mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark = d.sparkSession
+    for j in sorted(touched - {shard for _, shard in moves}):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={j}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def rewrite(df: DataFrame, placed: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> None:
     """Writes the files of the new shards that a block left or entered, under
     ``path/shard=<n>``; shards that keep all their documents are not touched.
 
     ``placed`` is ``reshard``'s result; ``id`` and the text's CRC name a row."""
     p = placed.select(F.col(id).alias("__id"), F.col("text_crc32").alias("__crc"), "old_shard", "shard").distinct()
-    moved = p.filter("old_shard <> shard")
-    touched = moved.select("shard").union(moved.select("old_shard")).distinct()
+    moves = [tuple(r) for r in p.select("old_shard", "shard").distinct().collect()]      # at most old * new
     d = df.withColumn("__crc", F.crc32(whole(text)))
     d = d.join(p, d[id].eqNullSafe(p["__id"]) & (d["__crc"] == p["__crc"]), "inner").drop("__id", "__crc", "old_shard")
-    d.join(F.broadcast(touched), "shard", "left_semi").write.partitionBy("shard").mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").parquet(path)
+    _replace(d, moves, path)
+
+
+def files(spark, schema: StructType, path: str) -> DataFrame:
+    """The documents of a layout, with the ``shard`` in whose folder they lie."""
+    return spark.read.schema(StructType([*schema.fields, StructField("shard", IntegerType())])).parquet(path)
+
+
+def relaid(df: DataFrame, path: str, id: str = "doc_id", text: str = "text", old: int = OLD, new: int = NEW) -> DataFrame:
+    """Writes ``df`` to ``path`` in the layout before, plans and rewrites there;
+    ``reshard``'s columns, read from the files that are then in ``path``."""
+    spark = df.sparkSession
+    df.withColumn("shard", old_shard(whole(text), old)).write.partitionBy("shard").parquet(path)
+    before = files(spark, df.schema, path)
+    big, table_ = _plan(written(measured(before, id, text, old), "reshard-sizes"), old, new)
+    places = spark.createDataFrame(table_, PLACES)
+    moves = {(o, shard) for o, _, shard, _ in table_}
+    lost = {o for o, shard in moves if o != shard}
+    gained = {shard for o, shard in moves if o != shard}
+    # the rows go along in a struct, so that no name of theirs meets the plan's
+    rows = before.filter(F.col("shard").isin(sorted(lost | gained))).select(
+        F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id).alias("id"), F.col("shard").alias("old"),
+        _block(whole(text), old).alias("block"))
+    rows = keyed(rows, big, old).join(F.broadcast(places), ["old", "key"]).select("row.*", "shard")
+    _replace(rows, moves, path)
+    # slots by the plan's offsets, all else as it lies in the files
+    after = keyed(measured(files(spark, df.schema, path), id, text, old, "shard"), big, old)
+    return _slots(after.join(F.broadcast(places.drop("shard")), ["old", "key"]), id)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    return reshard(table(spark, sf_dir, "documents")).select(
+    return relaid(table(spark, sf_dir, "documents"), shared_path(spark, "reshard")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -159,6 +159,33 @@ def test_reshard(spark, tmp_path):
     assert back.count() == sum(r["shard"] in touched for r in got)          # the others stay as they are
 
 
+def test_relaid_files_hold_each_document_once(spark):
+    """More and fewer shards: op4's rows are what lies in the files, emptied shards go."""
+    rows = [(1000 + i, prose(i % 300, 30), "a") for i in range(400)] + ODD
+    d = docs(spark, rows)
+    for old, new in ((12, 16), (6, 4), (3, 3)):
+        path = shared_path(spark, "relaid")
+        got = reshard.relaid(d, path, old=old, new=new).collect()
+        back = spark.read.parquet(path)
+        key = lambda r: (str(r[0]), r[1], r[2])
+        assert sorted(((r["doc_id"], r["text_crc32"], r["shard"]) for r in got), key=key) == sorted(
+            ((r["doc_id"], zlib.crc32((r["text"] or "").encode()), r["shard"]) for r in back.collect()), key=key)
+        assert sorted(back.columns) == sorted([*d.columns, "shard"]) and len(got) == len(rows)
+        assert {r["shard"] for r in got} <= set(range(new))
+        want = sorted(map(tuple, reshard.reshard(d, old=old, new=new).collect()), key=str)
+        assert sorted(map(tuple, got), key=str) == want
+    assert reshard.relaid(docs(spark, []), shared_path(spark, "relaid")).count() == 0
+
+
+def test_rewrite_removes_emptied_shards(spark):
+    """Three shards become two: the third's folder does not stay beside the copies."""
+    d, path = docs(spark, [(i, prose(i, 20), "a") for i in range(90)]), shared_path(spark, "fewer")
+    d.withColumn("shard", reshard.old_shard(F.col("text"), 3)).write.partitionBy("shard").parquet(path)
+    reshard.rewrite(reshard.files(spark, d.schema, path).drop("shard"), reshard.reshard(d, old=3, new=2), path)
+    back = spark.read.parquet(path)
+    assert back.count() == 90 and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1}
+
+
 def test_secrets_ledger(spark):
     key = "AKIA" + "Z" * 14
     rows = [(20, f"é password: 'abcdefghijkl' {key}", "a"), (21, "TOKEN=short Api_Key = 0123456789abcdef", "a"),
