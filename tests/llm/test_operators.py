@@ -3,6 +3,7 @@ long texts, clashing column names and empty tables, against brute force."""
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fincrime.llm import (components, dart_minhash, line_dedup, metric_join, mixing, piece_codec, quality_classifier,
-                          quality_rules, reshard, secrets, warc)
+                          quality_rules, registry, reshard, secrets, warc)
 from fincrime.llm.common import shared_path
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
@@ -346,3 +347,40 @@ def test_codec_round_trip(spark):
     got = sorted(((r["doc_id"], r["text"]) for r in piece_codec.decode(e).collect()), key=str)
     assert got == sorted([(i, t) for i, t, _ in ODD], key=str)
     assert piece_codec.encode(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_sql_keys(spark, name):
+    from harness import compare, duck
+    sf_dir = "/root/testdata/sf0.001"
+    ok, _, _, detail = compare(spark, duck(sf_dir), name, registry.QUERIES[name], registry.oracle_sql()[name], sf_dir)
+    assert ok, detail
+
+
+def test_pipeline_run(spark, tmp_path):
+    """Nulls, copies and a hot source through ``run``, against its rules in plain Python."""
+    if not os.path.exists(piece_codec.MODEL):
+        pytest.skip("no vocabulary here")
+    import corpus_pipeline
+    good = {i: f"{prose(3000 + i, 80 + i % 9)}\nthe end of page {i}" for i in range(140)}
+    rows = [(i, t + "\nsite menu" * (i < 60), "hot" if i < 120 else "other") for i, t in good.items()]
+    rows += [(500 + i, good[130], "other") for i in range(3)] + [(3, rows[3][1], "hot")]       # copies, a repeated row
+    rows += [(600, None, "hot"), (601, "", None), (602, "too short", "other")]
+    docs(spark, rows).select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert all(x["n_ids"] == len(x["ids"]) for x in out.collect())
+    got = piece_codec.decode(out).collect()
+    # short and null texts go, the menu goes, of copies the smallest id stays
+    assert {x["doc_id"] for x in got} <= set(good)
+    times = {}
+    for x in got:
+        assert x["text"] == good[x["doc_id"]]
+        times[x["doc_id"]] = times.get(x["doc_id"], 0) + 1
+    # sources in order get weights 3 and 1 of 1.5 times all words, none over twice its own
+    size = {s: sum(len(words(t)) for i, t in good.items() if (i < 120) == (s == "hot")) for s in ("hot", "other")}
+    total = 1.5 * sum(size.values())
+    target = {"other": min(2 * size["other"], total / 4)}
+    target["hot"] = min(2 * size["hot"], total - target["other"])
+    for s in size:
+        taken = sum(len(words(good[i])) * n for i, n in times.items() if (i < 120) == (s == "hot"))
+        assert abs(taken - target[s]) <= 40, (s, taken, target[s])
