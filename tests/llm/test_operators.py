@@ -267,6 +267,17 @@ def test_near_duplicates_against_all_pairs(spark):
     assert dart_minhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_copies_with_null_or_repeated_ids(spark):
+    """One text of a group stays if its ids are all null, or if two texts share the smallest."""
+    base = [prose(70 + g, 120) for g in range(3)]
+    near = lambda g, n: f"{base[g]} tail{n}"
+    rows = [(None, near(0, n), "a") for n in range(4)] + [(5, near(1, n), "a") for n in range(3)] + [(9, near(1, 8), "a")] + \
+           [(None, near(2, 0), "a"), (7, near(2, 1), "a")]
+    got = [r for r in dart_minhash.near_duplicates(docs(spark, rows)).collect()]
+    assert len(got) == len(rows)
+    assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in got if r["kept"]) == [("5", "5"), ("7", "7"), ("None", "None")]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
