@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fincrime.llm import dart_minhash, line_dedup, metric_join, mixing, piece_codec, quality_classifier, quality_rules, reshard, secrets, warc
+from fincrime.llm import dart_minhash, line_dedup, metric_join, mixing, piece_codec, quality_classifier, quality_rules, reshard, secrets, token_counts, warc
 
 QUERIES = {
     "op1_secret_ledger": secrets.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_streaming_viterbi": piece_codec.op8,
     "op9_metric_range_join": metric_join.op9,
     "op10_quality_rules": quality_rules.op10,
+    "op13_prefix_token_counts": token_counts.op13,
 }
 
 
