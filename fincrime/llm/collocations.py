@@ -20,10 +20,12 @@ Parts of a frequent phrase are at least as frequent as it, so the same table of
 counts has all parts.  Scores and the test for longer phrases are joins of that
 table with itself; integers of 38 digits keep products exact.
 
-Scale: counts are summed in the tasks, over ``PART`` bytes and ``HELD`` phrases,
-before each shuffle; hashes and phrases spread over all tasks whatever the
-language, so a hot language or phrase costs no more than any other.  The best
-phrases of a language are found in ``BUCKETS`` parts first.
+Scale: counts are summed in the tasks, over ``HELD`` phrases, before each
+shuffle; hashes and phrases spread over all tasks whatever the language, so a
+hot language or phrase costs no more than any other.  Hashes travel packed by
+bucket, and there is a bucket for each ``BUCKET_BYTES`` of text: what a bucket
+holds does not grow with the corpus.  The best phrases of a language are found in
+``BUCKETS`` parts first.
 
 Defined results: a null or empty text has no words; a null language counts as
 ``und``; words are separated by runs of blanks, phrases are given with single
@@ -53,8 +55,9 @@ SHARDS = 3
 COVER_PERCENT = 50
 TOP = 2000
 BUCKETS = 64
-PART = 2_000_000             # bytes of text that are hashed together
-HELD = 6_000_000             # phrases that a task holds before it sums and sends them
+PART = 1_000_000             # bytes of text that are hashed together
+HELD = 3_000_000             # phrases that a task holds before it sums and sends them
+BUCKET_BYTES = 8_000_000     # bytes of text whose phrases' counts are added up together
 TEXTS = 500_000              # candidates' texts that a task holds before it sends their counts
 BITS, MOST_BITS = 16, 1 << 27
 KEY = np.uint64((1 << 62) - 1)
@@ -140,25 +143,70 @@ def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, int, list[bytes]]]:
         yield lang, int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"), own
 
 
-def _shard_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, shard, n): occurrences of phrases by hash; the shard is the task's."""
-    shard = TaskContext.get().partitionId() % SHARDS
-    held: list[np.ndarray] = []
+def _shard_counts(bits: int):
+    """(bucket, shard, keys, n): occurrences of phrases by hash, those of one bucket (the
+    hash's first ``bits`` bits) packed in a row; the shard is the task's."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() % SHARDS
+        held: list[np.ndarray] = []
 
-    def summed() -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), shard, np.int8)),
-                                           pa.array(n.astype(np.int32))], ["key", "shard", "n"])
+        def summed() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            bucket, starts = np.unique(keys >> np.uint64(62 - bits), return_index=True)
+            ends = np.append(starts, len(keys))
+            packed = lambda x, size: pa.Array.from_buffers(
+                pa.binary(), len(starts), [None, pa.py_buffer((ends * size).astype(np.int32)), pa.py_buffer(x)])
+            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(np.full(len(starts), shard, np.int8)),
+                                               packed(keys, 8), packed(n.astype(np.int32), 4)], ["bucket", "shard", "keys", "n"])
 
-    for b in batches:
-        for _, seed, texts in _by_language(b):
-            for part in parts(texts):
-                held += [keys for keys, _, _ in phrases(part, seed)]
-                if sum(map(len, held)) >= HELD:
-                    yield summed()
-    if held:
-        yield summed()
+        for b in batches:
+            for _, seed, texts in _by_language(b):
+                for part in parts(texts):
+                    held += [keys for keys, _, _ in phrases(part, seed)]
+                    if sum(map(len, held)) >= HELD:
+                        yield summed()
+        if held:
+            yield summed()
+    return count
+
+
+def _union(local: int, support: int):
+    """The keys of a bucket that reach ``local`` in a shard and ``support`` over all shards."""
+    def unite(bucket: pa.Table) -> pa.Table:
+        unpack = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in bucket.column(name)])
+        keys, n = unpack("keys", np.uint64), unpack("n", np.int32).astype(np.int64)
+        shard = np.repeat(bucket.column("shard").to_numpy(), [len(x.as_buffer()) // 8 for x in bucket.column("keys")])
+        order = np.argsort(keys, kind="stable")
+        keys, n, shard = keys[order], n[order], shard[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        most = np.max([np.add.reduceat(np.where(shard == s, n, 0), starts) for s in range(SHARDS)], axis=0)
+        keep = (most >= local) & (np.add.reduceat(n, starts) >= support)
+        return pa.table({"key": keys[starts[keep]].view(np.int64)})
+    return unite
+
+
+def _texts(part: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> Iterator[tuple[bytes, int]]:
+    """Each text of the phrases from ``starts`` to ``ends`` with a count.
+
+    Phrases of one hash are counted together if their bytes equal those of the first; the
+    rest (other blanks between words, or a collision) one by one."""
+    data, size = np.frombuffer(part, np.uint8), ends - starts
+    _, first, of = np.unique(keys, return_index=True, return_inverse=True)
+    example = first[of]
+    same = size == size[example]
+    by_size = np.argsort(size, kind="stable")
+    cuts = np.flatnonzero(np.diff(size[by_size])) + 1
+    for own in np.split(by_size, cuts):
+        own = own[same[own] & (example[own] != own)]
+        if len(own):
+            span = np.arange(size[own[0]])
+            for lo in range(0, len(own), 1 + 2_000_000 // len(span)):
+                some = own[lo:lo + 1 + 2_000_000 // len(span)]
+                same[some] = (data[starts[some, None] + span] == data[starts[example[some], None] + span]).all(axis=1)
+    n = np.bincount(of[same], minlength=len(first))
+    yield from zip([part[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], n.tolist())
+    yield from ((part[i:j], 1) for i, j in zip(starts[~same].tolist(), ends[~same].tolist()))
 
 
 def _candidate_counts(bitmap):
@@ -167,7 +215,7 @@ def _candidate_counts(bitmap):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
         mask = np.uint64(len(bits) * 8 - 1)
-        held: Counter = Counter()
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
         total: Counter = Counter()
 
         def rows(found: list) -> pa.RecordBatch:
@@ -177,7 +225,7 @@ def _candidate_counts(bitmap):
 
         def flushed() -> pa.RecordBatch:
             # single blanks; what differs in blanks only is summed by the group that follows
-            found = [(lang, k, re.sub(rb"[ \t]+", b" ", t).decode(), n) for (lang, k, t), n in held.items()]
+            found = [(lang, k, b" ".join(t.split()).decode(), n) for (lang, k), texts in held.items() for t, n in texts.items()]
             held.clear()
             return rows(found)
 
@@ -189,10 +237,11 @@ def _candidate_counts(bitmap):
                             total[lang] += len(keys)
                         slot = keys & mask
                         own = np.flatnonzero(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
-                        found = Counter(map(part.__getitem__, map(slice, starts[own].tolist(), ends[own].tolist())))
-                        for t, n in found.items():
-                            held[lang, k, t] += n
-                    if len(held) >= TEXTS:
+                        if len(own):
+                            into = held.setdefault((lang, k), {})
+                            for t, n in _texts(part, starts[own], ends[own], keys[own]):
+                                into[t] = into.get(t, 0) + n
+                    if sum(map(len, held.values())) >= TEXTS:
                         yield flushed()
         yield flushed()
         yield rows([(lang, 0, None, n) for lang, n in total.items() if n])
@@ -201,12 +250,11 @@ def _candidate_counts(bitmap):
 
 def candidates(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(key): hashes of phrases that are frequent in a shard and reach the support over all."""
-    local = math.ceil(support / SHARDS)
-    counts = docs.mapInArrow(_shard_counts, "key long, shard byte, n int")
-    # one shuffle by hash serves both sums: a hash's shards lie in one task
-    by_shard = counts.repartition("key").groupBy("key", "shard").agg(F.sum("n").alias("n"))
-    union = by_shard.groupBy("key").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
-    return union.filter((F.col("most") >= local) & (F.col("n") >= support)).select("key")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    bits = min(30, max(4, math.ceil(math.log2(max(1, size) / BUCKET_BYTES))))
+    counts = docs.mapInArrow(_shard_counts(bits), "bucket int, shard byte, keys binary, n binary")
+    # one shuffle serves both steps: a hash's counts of all shards are in one bucket
+    return counts.groupBy("bucket").applyInArrow(_union(math.ceil(support / SHARDS), support), "key long")
 
 
 def _bitmap(keys: DataFrame) -> bytes:
