@@ -16,12 +16,13 @@ joined with the matching partition of the other side).  No pair is dropped.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fincrime.functions.semantics import month_floor_filter
+from fincrime.functions.semantics import date_from_key, month_floor_filter
 
 
 def flagged_accounts(ledger: DataFrame, codes: Sequence, account: str = "accountkey",
@@ -32,10 +33,27 @@ def flagged_accounts(ledger: DataFrame, codes: Sequence, account: str = "account
     return ledger.filter(F.col(indicator).isin(list(codes))).select(account).distinct()
 
 
-def recent_ledger(ledger: DataFrame, as_of, days: int = 30, date_col: str = "transactiondate",
-                  faithful: bool = False) -> DataFrame:
-    """Entries from the first day of the month holding ``as_of - days``."""
-    return ledger.filter(month_floor_filter(date_col, as_of, days, faithful))
+def recent_ledger(ledger: DataFrame, as_of: _dt.date, days: int = 30, date_col: str = "transactiondate",
+                  faithful: bool = False, month_col: str = "postedmonth") -> DataFrame:
+    """Entries from the first day of the month holding ``as_of - days``.
+
+    An integer ``date_col`` is a ``yyyymmdd`` key and is compared as it is, so
+    the test reaches the scan.  Where the ledger has the key's month
+    (``yyyymm``) as ``month_col``, usually as its partition column, the same
+    bound on the month prunes partitions before a file is opened.
+    ``faithful=True`` keeps the source's test of year and month one by one."""
+    start = as_of - _dt.timedelta(days=days)
+    kind = dict(ledger.dtypes)[date_col]
+    if kind not in ("int", "bigint"):
+        return ledger.filter(month_floor_filter(date_col, as_of, days, faithful))
+    by_month = month_col in ledger.columns
+    if faithful:
+        d = date_from_key(date_col)
+        out = ledger.filter((F.year(d) >= start.year) & (F.month(d) >= start.month))
+        return out.filter((F.col(month_col) >= start.year * 100 + start.month)
+                          & (F.col(month_col) % 100 >= start.month)) if by_month else out
+    out = ledger.filter(F.col(date_col) >= start.year * 10000 + start.month * 100 + 1)
+    return out.filter(F.col(month_col) >= start.year * 100 + start.month) if by_month else out
 
 
 def contra_entry_match(ledger: DataFrame, flagged: DataFrame,

@@ -1,39 +1,121 @@
-"""Row numbering per key that stays balanced when one key holds most rows.
+"""Row numbering that stays balanced when one key holds most rows, and global ranks.
 
-``row_number`` over a key alone sorts each key's rows inside one task.  Here a
-key is cut into buckets by a value that grows with the order (its first column,
-timestamps by day): rows are numbered within (key, bucket), the rows of each
-bucket are counted, and the counts of the key's earlier buckets are added.  Only
-counts, a row a key and bucket, are ever brought together by key.
+``row_number`` over a key alone sorts each key's rows inside one task; over no key
+it sorts the whole table in one.  Here the keys with many rows are found in a
+sample of at most about ``SAMPLE`` rows, and each of them is cut into ranges of
+its whole order (all of its columns, so a constant first column is cut by the
+next) at values of the sample.  Rows are numbered within (key, range) and the
+rows of the key's earlier ranges are added.  Ranges are counted only for those
+keys: a row a range, at most as many as sampled rows.  All other keys take the
+plain window; without a hot key that is the whole plan, one shuffle.
 
-All of it is built-in expressions, so every type keeps its values.  The result
-equals ``row_number() over (partition by keys order by order)`` for a total
-order (ties must be broken by the caller, as everywhere).
+The cuts are literals of the plan, so every part of it, and every recomputed
+task, cuts alike; a poor sample costs balance and never a number.  All of it is
+built-in expressions.  The result equals ``row_number() over (partition by keys
+order by order)`` for a total order (ties must be broken by the caller, as
+everywhere).  Null keys are keys, nulls come last; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET, _BEFORE = "__bucket", "__before"
-
-
-def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column,
-                         ascending: bool, name: str = "rn") -> DataFrame:
-    """``row_number()`` per ``keys`` in ``order`` (Columns with direction).
-
-    ``bucket`` must not decrease along the first column of ``order`` (not
-    increase, unless ``ascending``), with nulls last in both."""
-    d = df.withColumn(_BUCKET, bucket)
-    direction = F.col(_BUCKET).asc_nulls_last() if ascending else F.col(_BUCKET).desc_nulls_last()
-    earlier = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    counts = d.groupBy(*keys, _BUCKET).agg(F.count("*").alias("__n"))
-    counts = counts.select(*[F.col(k).alias(f"__c_{k}") for k in [*keys, _BUCKET]],
-                           F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BEFORE))
-    local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, _BUCKET).orderBy(*order)))
-    same = [local[k].eqNullSafe(counts[f"__c_{k}"]) for k in [*keys, _BUCKET]]
-    rn = (F.col("__local") + F.col(_BEFORE)).cast("int")
-    return local.join(counts, same).select(*[local[c] for c in df.columns], rn.alias(name))
+ROWS = 10_000        # a key with more rows is cut into ranges of about as many
+SAMPLE = 20_000      # rows, about, in the sample
+LEAST = 16           # sampled rows of a key that is cut; a range has a quarter of that at least
+_BUCKET, _BEFORE, _SPLITS = "__bucket", "__before", "__splits"
+
+#: a column's value, and whether it ascends
+Ordered = tuple[Column, bool]
+
+
+def _sorted(value: Column, ascending: bool) -> Column:
+    return value.asc_nulls_last() if ascending else value.desc_nulls_last()
+
+
+def _not_after(split: Column, order: Sequence[Ordered]) -> Column:
+    """Whether a split stands before a row or where it stands, nulls last."""
+    out = F.lit(True)
+    for i, (value, ascending) in reversed(list(enumerate(order))):
+        s = split[f"o{i}"]
+        before = F.coalesce(s < value if ascending else s > value, F.lit(False)) | (s.isNotNull() & value.isNull())
+        out = before | (s.eqNullSafe(value) & out)
+    return out
+
+
+def _splits(source: DataFrame, keys: Sequence[str], order: Sequence[Ordered], total: int, least_ranges: int) -> list:
+    """A row for each key with many rows: the key, and order values that cut it.  The sample is bounded, not the table."""
+    share = min(1.0, SAMPLE / total)
+    values = [v.alias(f"o{i}") for i, (v, _) in enumerate(order)]
+    s = source.sample(share, seed=7).select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *values)
+    names = [f"k{i}" for i in range(len(keys))]
+    by = [F.col(c) for c in names] or [F.lit(0)]
+    w = Window.partitionBy(*by)
+    s = s.withColumn("n", F.count("*").over(w)).withColumn("at", F.row_number().over(
+        w.orderBy(*[_sorted(F.col(f"o{i}"), a) for i, (_, a) in enumerate(order)])))
+    ranges = F.least(F.greatest(F.ceil(F.col("n") / share / ROWS), F.lit(least_ranges)), F.floor(F.col("n") * 4 / LEAST))
+    s = s.withColumn("ranges", ranges).filter((F.col("n") >= LEAST) & (F.col("ranges") > 1))
+    cut = F.floor(F.col("at") * F.col("ranges") / F.col("n")) > F.floor((F.col("at") - 1) * F.col("ranges") / F.col("n"))
+    return s.filter(cut & (F.col("at") < F.col("n"))).groupBy(*by[:len(keys)]) \
+            .agg(F.collect_set(F.struct(*[f"o{i}" for i in range(len(order))])).alias(_SPLITS))
+
+
+def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Ordered], rest: Sequence[Column] = (),
+                         name: str = "rn", sample_of: DataFrame | None = None, kind: str = "int") -> DataFrame:
+    """``row_number()`` per ``keys`` by ``order``, then by ``rest`` (Columns with
+    their direction, which sort but do not cut).
+
+    ``sample_of`` is a table with the same columns that is cheaper to read, such
+    as the one that ``df`` removes repeats from."""
+    source = df if sample_of is None else sample_of
+    keys = list(keys)
+    sort = [*[_sorted(v, a) for v, a in order], *rest]
+    total = source.count()
+    splits = None
+    if order and (total > ROWS or not keys):
+        least = 1 if keys else source.sparkSession.sparkContext.defaultParallelism
+        found = _splits(source, keys, order, max(total, 1), least)
+        rows = [r for r in found.collect() if r[_SPLITS]]
+        splits = source.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    if splits is None:
+        parts = [F.col(k) for k in keys] or [F.lit(0)]
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*sort)).cast(kind))
+
+    # the cuts of a key: at most as many rows and values as the sample has
+    d = df
+    if keys:
+        same = [df[k].eqNullSafe(splits[f"k{i}"]) for i, k in enumerate(keys)]
+        d = df.join(F.broadcast(splits), same, "left").drop(*[f"k{i}" for i in range(len(keys))])
+    else:
+        kinds = {f.name: f.dataType for f in splits.schema[_SPLITS].dataType.elementType.fields}
+        d = df.withColumn(_SPLITS, F.array(*[F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in kinds.items()])
+                                             for r in rows[0][_SPLITS]]))
+    bucket = F.size(F.filter(_SPLITS, lambda s: _not_after(s, order)))
+    last = F.when(F.col(_SPLITS).isNotNull(), F.size(_SPLITS)).otherwise(0)
+    d = d.withColumn(_BUCKET, F.when(F.col(_SPLITS).isNotNull(), bucket).otherwise(0)).withColumn("__last", last).drop(_SPLITS)
+
+    # rows of earlier ranges, a row a range; each range counts for all that follow it
+    counts = d.filter(F.col("__last") > 0).groupBy(*keys, "__last", _BUCKET).agg(F.count("*").alias("__n"))
+    later = F.sequence(F.col(_BUCKET) + 1, F.col("__last"))
+    before = counts.filter(F.col(_BUCKET) < F.col("__last")) \
+        .select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], F.explode(later).alias("__later"), "__n") \
+        .groupBy(*[f"__c{i}" for i in range(len(keys))], "__later").agg(F.sum("__n").alias(_BEFORE))
+    local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, _BUCKET).orderBy(*sort)))
+    same = reduce(lambda a, b: a & b, [local[k].eqNullSafe(before[f"__c{i}"]) for i, k in enumerate(keys)],
+                  local[_BUCKET] == before["__later"])
+    rn = F.col("__local") + F.coalesce(F.col(_BEFORE), F.lit(0))
+    return local.join(F.broadcast(before), same, "left").select(*[local[c] for c in df.columns], rn.cast(kind).alias(name))
+
+
+def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], name: str = "rank") -> DataFrame:
+    """Each row's place (from 1) in the order of the whole table, as a column.
+
+    ``order``: (column, whether it ascends), total.  Ranges of the order are
+    numbered side by side, so no task sorts the table."""
+    pairs = [(F.col(c), a) for c, a in order]
+    return number_rows_balanced(df, [], pairs, name=name, kind="long")

@@ -38,31 +38,34 @@ def _sort_cols(cols: Sequence[ColumnOrName], ascending: bool) -> list[Column]:
     for c in cols:
         if isinstance(c, str):
             out.append(F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last())
+        elif isinstance(c, tuple):
+            out.append(to_col(c[0]).asc_nulls_last() if c[1] else to_col(c[0]).desc_nulls_last())
         else:
             out.append(c)  # a Column carries its own direction
     return out
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName], *,
-                ties: Sequence[ColumnOrName], ascending: bool = False,
-                name: str = "rn", balanced: bool = True, bucket: Column | None = None) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName | tuple], *,
+                ties: Sequence[ColumnOrName | tuple], ascending: bool = False,
+                name: str = "rn", balanced: bool = True, sample_of: DataFrame | None = None) -> DataFrame:
     """``row_number()`` per key.  Names in ``order``/``ties`` sort in the
-    given direction with nulls last; Columns keep their own direction.
-    ``ties`` is required: pass the columns that make the order total (or an
-    empty list when ``order`` is already unique per key).
-
-    ``balanced=True`` (default) numbers every row without putting a whole key
-    in one task (see ``operators/numbering.py``); where ``order`` starts with a
-    Column, ``bucket`` names its value without direction.  Callers that only
-    keep ``rn = 1`` pass ``balanced=False``: the window plan then limits each
-    key to one row per map task before the shuffle, which is already balanced."""
-    sort = _sort_cols(list(order) + list(ties), ascending)
-    first = order[0] if order else None
-    if bucket is None and isinstance(first, str):
-        bucket = F.to_date(first) if dict(df.dtypes)[first].startswith("timestamp") else F.col(first)
-    if balanced and bucket is not None:
+    given direction with nulls last, pairs (name or Column, ascending) in their
+    own; Columns keep the direction they carry.  ``ties`` is required: pass the
+    columns that make the order total (or an empty list when ``order`` is
+    already unique per key).
+
+    ``balanced=True`` (default) numbers every row without putting a whole hot
+    key in one task (see ``operators/numbering.py``); it cuts such a key by the
+    leading names and pairs.  Callers that only keep ``rn = 1`` pass
+    ``balanced=False``: the window plan then limits each key to one row per map
+    task before the shuffle, which is already balanced."""
+    full = [*order, *ties]
+    sort = _sort_cols(full, ascending)
+    if balanced:
         from fincrime.operators.numbering import number_rows_balanced
-        return number_rows_balanced(df, list(keys), sort, bucket, ascending, name=name)
+        cuts = next((i for i, c in enumerate(full) if not isinstance(c, (str, tuple))), len(full))
+        pairs = [(to_col(c[0]), c[1]) if isinstance(c, tuple) else (F.col(c), ascending) for c in full[:cuts]]
+        return number_rows_balanced(df, list(keys), pairs, sort[cuts:], name=name, sample_of=sample_of)
     w = Window.partitionBy(*[to_col(k) for k in keys]).orderBy(*sort)
     return df.withColumn(name, F.row_number().over(w))
 
@@ -81,3 +84,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrNa
                   ties: Sequence[ColumnOrName], keep_rn: bool = False) -> DataFrame:
     """Oldest row per key, nulls last."""
     return latest_per_key(df, keys, order, ties=ties, keep_rn=keep_rn, ascending=True)
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """All rows of each key that share its greatest ``col`` (nulls last), ties included.
+
+    ``rank() = 1``: like ``row_number``, Spark limits each key before the
+    shuffle, so of a history only its newest rows travel.  Joins that follow see
+    the newest rows in place of the history."""
+    w = Window.partitionBy(*keys).orderBy(F.col(col).desc_nulls_last())
+    return df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")

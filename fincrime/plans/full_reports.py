@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fincrime.operators import latest_snapshot, scd2_current
 from fincrime.plans import reports as R
+from fincrime.plans.reports.common import ts_ntz
 from fincrime.sources.catalog import Warehouse
 from fincrime.sources.derived_warehouse import warehouse_from_driver
 
@@ -41,7 +42,12 @@ def aml(wh: Warehouse) -> DataFrame:
 
 
 def employer(wh: Warehouse) -> DataFrame:
-    return R.employer_accounts(wh, [f"E{n:06d}" for n in range(5)])
+    # every employer of one industry, and the newest accounts of one status: numbers of both kinds
+    emp = scd2_current(wh["dimemployer"]).filter(F.col("employerindustrytypename") == "EUROPE")
+    acc = scd2_current(wh["dimaccount"]).filter((F.col("accountstatusname") == "P")
+                                                & (F.col("accountopendate") >= ts_ntz("2001-06-01 00:00:00")))
+    return R.employer_accounts(wh, emp.select("employernumberwithcheckdigit")
+                               .union(acc.select("accountnumberwithcheckdigit")))
 
 
 def contra(wh: Warehouse) -> DataFrame:

@@ -14,9 +14,14 @@ from fincrime import functions as fn
 from fincrime.operators import (code_lookup, decode, dedup, first_per_key, flagged_accounts,
                                 key_frame, latest_per_key, latest_snapshot, number_rows,
                                 scd2_current, semi_join_keys, union_all)
-from fincrime.operators.clients import accounts_of_client, stopped_card_activity
-from fincrime.operators.matching import contra_entry_match
+from fincrime.operators.clients import accounts_of_client, cards_of_client, stopped_card_activity
+from fincrime.operators.matching import contra_entry_match, recent_ledger
+from fincrime.operators.numbering import global_rank
 from fincrime.plans.context import Ctx, d, ts_lit
+from fincrime.session import new_shared_path
+from fincrime.sources.catalog import Warehouse
+from fincrime.sources.derived_warehouse import DerivedWarehouse
+from fincrime.sources.sinks import write_report
 
 OPERATOR_KEYS: dict[str, callable] = {}
 
@@ -47,6 +52,29 @@ def scan_view(c: Ctx) -> DataFrame:
     return c.spark.table("fx_final_orders")
 
 
+@key("multi_schema_catalogue")
+def multi_schema_catalogue(c: Ctx) -> DataFrame:
+    # one short name in two schemas: a qualified name says which, in any case
+    party = {"core.dimparty": c.t.customer.select(F.col("c_nationkey").alias("NationKey"), F.col("c_custkey").alias("PartyKey")),
+             "mis.dimparty": c.t.supplier.select(F.col("s_nationkey").alias("nationkey"), F.col("s_suppkey").alias("partykey")),
+             "core.dimnation": c.t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"))}
+    wh = Warehouse(c.spark, party)
+    clients, agents = wh["CORE.DimParty"], wh["mis.DIMPARTY"].withColumnRenamed("partykey", "agentkey")
+    n = wh["dimnation"].filter(F.col("name") < "NATION_2")
+    return clients.join(n, "nationkey", "left_semi").join(agents, "nationkey").select("partykey", "agentkey")
+
+
+@key("report_output")
+def report_output(c: Ctx) -> DataFrame:
+    # a committed, partitioned write, and what a consumer of one partition and of all reads back
+    o = c.t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = new_shared_path(c.spark, "report-output")
+    write_report(o, path, partition_by=["o_orderstatus"])
+    written = c.spark.read.parquet(path)
+    return written.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", F.lit("partition").alias("read")) \
+        .unionByName(written.select("o_orderkey", "o_custkey", F.lit("whole").alias("read")))
+
+
 @key("inline_relation")
 def inline_relation(c: Ctx) -> DataFrame:
     o = c.t.orders.select("o_orderkey", "o_orderstatus")
@@ -381,6 +409,22 @@ def contra_entry(c: Ctx) -> DataFrame:
                         F.col("credit_amount").alias("credit"), F.col("debit_amount").alias("debit"))
 
 
+@key("recent_ledger")
+def recent_ledger_key(c: Ctx) -> DataFrame:
+    # D14 on an integer key with its month beside it, as the partitioned ledger has them
+    lg = DerivedWarehouse(c.t).facttransaction()
+    return recent_ledger(lg, d("1999-01-31"), date_col="postedtransactiondatekey") \
+        .select("accountkey", "transactionamount", "postedtransactiondatekey", "journalnumber")
+
+
+@key("cards_of_client")
+def cards_of_client_key(c: Ctx) -> DataFrame:
+    # D27: prefix semi-join, then the newest card key of each set of card attributes
+    clients = c.fx.fx_client.filter((F.col("lastname") == "BUILDING") & (F.col("rowiscurrent") == 1)).select("cifnumber")
+    return cards_of_client(DerivedWarehouse(c.t).dimcard(), clients) \
+        .select("card_clientnumber", "cardnumber", "cardholdertypecode", "embossedname", "cardkey")
+
+
 @key("join_left_null_rejected")
 def join_left_null_rejected(c: Ctx) -> DataFrame:
     # a WHERE on the padded side rejects nulls: written as the inner join it is
@@ -458,8 +502,7 @@ def dedup_then_number(c: Ctx) -> DataFrame:
 # ---------------------------------------------------------------- windows
 def _orders_rn(c: Ctx, parts, ascending: bool) -> DataFrame:
     o = c.t.orders
-    return number_rows(o, parts, ["o_orderdate"], ties=[F.col("o_orderkey").asc_nulls_last()],
-                       ascending=ascending).select("o_orderkey", "rn")
+    return number_rows(o, parts, ["o_orderdate"], ties=[("o_orderkey", True)], ascending=ascending).select("o_orderkey", "rn")
 
 
 @key("win_rownum_desc")
@@ -480,8 +523,8 @@ def win_rownum_asc(c: Ctx) -> DataFrame:
 @key("win_rownum_multi_order")
 def win_rownum_multi_order(c: Ctx) -> DataFrame:
     e = c.t.events
-    return number_rows(e, ["user_id"], [F.to_date("ts").desc_nulls_last(), F.col("ts").desc_nulls_last()],
-                       ties=[F.col("event_id").asc_nulls_last()], bucket=F.to_date("ts")).select("event_id", "rn")
+    return number_rows(e, ["user_id"], [(F.to_date("ts"), False), ("ts", False)],
+                       ties=[("event_id", True)]).select("event_id", "rn")
 
 
 _DAILY_TIES = ["currentbalanceamount", "stopsonaccountcount"]
@@ -490,7 +533,8 @@ _DAILY_TIES = ["currentbalanceamount", "stopsonaccountcount"]
 @key("win_after_dedup")
 def win_after_dedup(c: Ctx) -> DataFrame:
     q = dedup(c.fx.fx_daily)
-    return number_rows(q, ["accountkey"], ["coveragedatekey"], ties=_DAILY_TIES)
+    # the sample may see repeats
+    return number_rows(q, ["accountkey"], ["coveragedatekey"], ties=_DAILY_TIES, sample_of=c.fx.fx_daily)
 
 
 @key("latest_per_key")
@@ -508,19 +552,20 @@ def first_per_key_key(c: Ctx) -> DataFrame:
 # ---------------------------------------------------------------- sort, limit, union
 @key("sort_multi")
 def sort_multi(c: Ctx) -> DataFrame:
-    return c.t.events.select("event_id", "ts", "value") \
-        .orderBy(F.col("ts").asc_nulls_last(), F.col("value").asc_nulls_last())
+    # the order is data too: a rank over the whole table, computed range by range
+    e = c.t.events.select("event_id", "ts", "value")
+    return global_rank(e, [("ts", True), ("value", True), ("event_id", True)]).orderBy("rank")
 
 
 @key("sort_desc")
 def sort_desc(c: Ctx) -> DataFrame:
-    return c.t.customer.select("c_custkey").orderBy(F.col("c_custkey").desc_nulls_last())
+    return global_rank(c.t.customer.select("c_custkey"), [("c_custkey", False)]).orderBy("rank")
 
 
 @key("sort_after_distinct")
 def sort_after_distinct(c: Ctx) -> DataFrame:
     q = c.t.events.select(F.to_date("ts").alias("d"), "event_type").distinct()
-    return q.orderBy(F.col("d").asc_nulls_last(), F.col("event_type").asc_nulls_last())
+    return global_rank(q, [("d", True), ("event_type", True)]).orderBy("rank")
 
 
 @key("limit_preview")

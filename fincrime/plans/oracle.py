@@ -62,6 +62,7 @@ FX_VIEWS: dict[str, str] = {
         "n_nationkey=c_nationkey"),
 }
 _FX_DEPS = {"fx_ledger": ["fx_legs"]}
+_HEAVY = ("fx_legs", "fx_ledger")      # computed once a query, not once a reference
 
 # Shared fragments
 _LATEST_DAILY = ("(select * from (select *, row_number() over(partition by accountkey order by "
@@ -78,10 +79,31 @@ _CONTRA_ON = ("a.transactiondate=b.transactiondate and a.timekey=b.timekey and "
 _FLAGGED = "(select accountkey from fx_ledger where transactionindicatorskey in (50,73))"
 _DDIFF = "date_diff('day', accountopendate, date '2024-07-15')"
 
+def _by_sign(columns: str, *more: str) -> str:
+    """The ledger's debits and credits as tables of their own, each with one text key of date, journal and more."""
+    key = "||'|'||".join(f"cast({c} as varchar)" for c in ("transactiondate", "journalnumber", *more))
+    return ("with debit as materialized (select " + columns + f", {key} as k from fx_ledger where transactionamount<0), "
+            "credit as materialized (select " + columns + f", {key} as k from fx_ledger where transactionamount>0) ")
+
+
 QUERIES: dict[str, str] = {
     # scans, sources
     "scan_base": "select * from customer",
     "scan_view": "select * from (select o_orderkey,o_custkey from orders where o_orderstatus='F') v",
+    "multi_schema_catalogue": ("select c_custkey as partykey, s_suppkey as agentkey from customer join nation on "
+                               "n_nationkey=c_nationkey and n_name<'NATION_2' join supplier on s_nationkey=c_nationkey"),
+    "report_output": ("select o_orderkey, o_custkey, 'partition' as read from orders where o_orderstatus='F' union all "
+                      "select o_orderkey, o_custkey, 'whole' from orders"),
+    "recent_ledger": (
+        "with e as (select *, year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) as k from lineitem) "
+        "select l_orderkey as accountkey, -cast(l_extendedprice as decimal(23,2)) as transactionamount, "
+        "k as postedtransactiondatekey, cast(l_partkey as varchar) as journalnumber from e where k>=19990101 union all "
+        "select 1000000000+l_suppkey, cast(l_extendedprice as decimal(23,2)), k, cast(l_partkey as varchar) from e "
+        "where k>=19990101 and l_linestatus='F'"),
+    "cards_of_client": (
+        "select lpad(cast(c_custkey as varchar),8,'0') as card_clientnumber, '4'||lpad(cast(c_custkey as varchar),9,'0') "
+        "as cardnumber, 'P' as cardholdertypecode, c_name as embossedname, c_custkey as cardkey from customer "
+        "where c_custkey%6<>0 and c_mktsegment='BUILDING'"),
     "inline_relation": ("select o_orderkey, t.label from orders left join (select 'F' as code,'Final' "
                         "as label union all select 'O','Open') t on t.code=o_orderstatus"),
     "search_keys": ("select c_custkey,c_name from customer where c_custkey in (select k from "
@@ -161,18 +183,17 @@ QUERIES: dict[str, str] = {
                             "c.cifnumber=a.clientnumber"),
     "join_dedup_dim": ("select p.p_partkey,d.name from part p left join (select code,name from fx_code "
                        "where rowiscurrent=1 group by 1,2) d on d.code=p.p_brand"),
-    "join_multi_key": ("select a.accountkey,b.accountkey as other from fx_ledger a join fx_ledger b on "
-                       "a.transactiondate=b.transactiondate and a.timekey=b.timekey and "
-                       "a.journalnumber=b.journalnumber where a.transactionamount<0 and "
-                       "b.transactionamount>0"),
-    "join_residual": ("select a.accountkey,b.accountkey as other from fx_ledger a join fx_ledger b on "
-                      "a.transactiondate=b.transactiondate and a.journalnumber=b.journalnumber and "
-                      "a.accountkey<>b.accountkey and a.clientkey<>b.clientkey where "
-                      "a.transactionamount<0 and b.transactionamount>0"),
-    "contra_entry": ("select a.accountkey as credit_account, b.accountkey as debit_account, "
-                     "a.journalnumber, a.transactionamount as credit, b.transactionamount as debit "
-                     f"from fx_ledger a join fx_ledger b on {_CONTRA_ON} where a.transactionamount>0 "
-                     f"and b.accountkey in {_FLAGGED}"),
+    "join_multi_key": _by_sign("accountkey", "timekey") + (
+        "select a.accountkey, b.accountkey as other from debit a join credit b on a.k=b.k"),
+    "join_residual": _by_sign("accountkey, clientkey") + (
+        "select accountkey, other from (select a.accountkey, b.accountkey as other, a.clientkey, b.clientkey as otherclient "
+        "from debit a join credit b on a.k=b.k) p where accountkey<>other and clientkey<>otherclient"),
+    "contra_entry": _by_sign("accountkey, clientkey, journalnumber, transactionamount", "timekey", "abs(transactionamount)") + (
+        f", flagged as materialized {_FLAGGED} "
+        "select credit_account, debit_account, journalnumber, credit, debit from (select a.accountkey as credit_account, "
+        "b.accountkey as debit_account, a.journalnumber, a.transactionamount as credit, b.transactionamount as debit, "
+        "a.clientkey as c1, b.clientkey as c2 from credit a join debit b on a.k=b.k) p "
+        "where credit_account<>debit_account and c1<>c2 and debit_account in (select accountkey from flagged)"),
     "join_left_null_rejected": ("select o_orderkey from orders left join customer on c_custkey=o_custkey "
                                 "where c_acctbal>0"),
     "join_fact_fact": ("select distinct o_orderkey,l_returnflag from orders join lineitem on "
@@ -217,10 +238,12 @@ QUERIES: dict[str, str] = {
                       "last, currentbalanceamount asc nulls last, stopsonaccountcount asc nulls last) "
                       "as rn from fx_daily) q where rn=1"),
     # sort, limit, union
-    "sort_multi": "select event_id,ts,value from events order by ts asc nulls last, value asc nulls last",
-    "sort_desc": "select c_custkey from customer order by c_custkey desc nulls last",
-    "sort_after_distinct": ("select distinct cast(ts as date) as d, event_type from events order by "
-                            "d asc nulls last, event_type asc nulls last"),
+    "sort_multi": ("select event_id,ts,value, row_number() over(order by ts asc nulls last, value asc nulls last, event_id) "
+                   "as rank from events order by rank"),
+    "sort_desc": ("select c_custkey, row_number() over(order by c_custkey desc nulls last) as rank from customer "
+                  "order by rank"),
+    "sort_after_distinct": ("select d, event_type, row_number() over(order by d asc nulls last, event_type asc nulls last) "
+                            "as rank from (select distinct cast(ts as date) as d, event_type from events) q order by rank"),
     "limit_preview": "select o_orderkey from orders order by o_orderkey limit 5",
     "union_all": ("select c_custkey as k, c_name as nm from customer union all select s_suppkey, s_name "
                   "from supplier"),
@@ -392,7 +415,7 @@ def with_views(sql: str) -> str:
     names = _needed(sql)
     if not names:
         return sql
-    ctes = ", ".join(f"{v} as ({FX_VIEWS[v]})" for v in names)
+    ctes = ", ".join(f"{v} as {'materialized ' if v in _HEAVY else ''}({FX_VIEWS[v]})" for v in names)
     body = sql.strip()
     if body[:5].lower() == "with ":
         return f"with {ctes}, {body[5:]}"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fincrime import functions as fn
-from fincrime.operators import dedup, latest_per_key, scd2_current, semi_join_keys, union_all
+from fincrime.operators import dedup, latest_per_key, newest_rows, scd2_current, semi_join_keys, union_all
 from fincrime.operators.clients import cards_of_client
 from fincrime.plans.reports.common import current, ties_over, to_date_value
 from fincrime.sources.catalog import Warehouse
@@ -72,10 +72,21 @@ def client_accounts(wh: Warehouse, clients: DataFrame) -> DataFrame:
     # order, duplicates cannot change which row is newest, so no DISTINCT)
     dep = dep.select(*_ACCOUNT_COLS, "coveragedatekey", F.col("coveragedatekey").alias("__fd_key"))
 
-    fl = wh["factloanaccountdailycoverage"].select("accountnumber", "productkey",
-                                                   "originatingbranchkey", "coveragedatekey")
+    # Rows are numbered by the loan's day first and the deposit's day second, so only the newest
+    # loan rows of an account (among those whose branch is known: the branch join drops the
+    # others before the numbering) and the newest matching deposit rows can be its first row.
+    # Both are chosen before they meet; ties stay for the numbering.
+    fl = wh["factloanaccountdailycoverage"].select("accountnumber", "productkey", "originatingbranchkey",
+                                                   "coveragedatekey")
+    owned = da.select(F.col("__an").alias("__own")).distinct()
+    fl = fl.join(owned, F.col("accountnumber") == F.col("__own"), "left_semi") \
+           .join(db.select(F.col("__bk").alias("__known")), F.col("originatingbranchkey") == F.col("__known"), "left_semi")
+    fl = newest_rows(fl, ["accountnumber"], "coveragedatekey")
     newest_key = fd_all.select(F.max("coveragedatekey")).scalar()
     fd_match = fd_all.filter((F.col("coveragedatekey") == newest_key) | (F.col("isfinalload") == 1)) \
+        .join(owned, F.col("accountnumber") == F.col("__own"), "left_semi") \
+        .select("accountnumber", "currentbalanceamount", "coveragedatekey")
+    fd_match = newest_rows(fd_match, ["accountnumber"], "coveragedatekey") \
         .select(F.col("accountnumber").alias("__fda"), F.col("currentbalanceamount").alias("__bal"),
                 F.col("coveragedatekey").alias("__fd_key"))
     loan = (da.join(fl, F.col("accountnumber") == F.col("__an"))

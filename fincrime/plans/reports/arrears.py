@@ -12,7 +12,6 @@ from fincrime import functions as fn
 from fincrime.operators import (dedup, first_per_key, latest_snapshot, scd2_current,
                                 semi_join_keys)
 from fincrime.plans.reports.common import date_key, to_date_value
-from fincrime.session import reuse
 from fincrime.sources.catalog import Warehouse
 
 REQUIRED = {
@@ -73,6 +72,21 @@ def accounts_with_tellers(wh: Warehouse, accounts: Sequence[str] | DataFrame) ->
         F.col("accountnumberwithcheckdigit").alias("primary_deposit_account"))
 
 
+def searched_clients(wh: Warehouse, accounts: Sequence[str] | DataFrame) -> DataFrame:
+    """The client search with the clients' own columns, built once: a row a
+    current client version, teller and primary deposit account.
+
+    Its rows are distinct over all columns and its join columns are known not to
+    be null, so no use of it can narrow what lies below: all uses plan the same
+    exchange, and Spark runs it once and reads it again for the others."""
+    awt = accounts_with_tellers(wh, accounts)
+    dc = scd2_current(wh["dimclient"]).select("clientkey", "cifnumber", "cifwithcheckdigit",
+                                              "partyidentifiertypenumber", "clientcreatedate")
+    s = dc.join(awt, F.col("cif") == F.col("cifnumber")).drop("cifnumber", "cif")
+    joined_by = ["clientkey", "cifwithcheckdigit", "teller_key", "primary_deposit_account"]
+    return dedup(s.dropna(subset=joined_by))
+
+
 def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_to,
             client_types: Sequence[str]) -> DataFrame:
     """Arrears rows for the clients of the searched primary deposit accounts
@@ -81,27 +95,18 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     Sorted by ID number, highest first."""
     wh.validate(REQUIRED)
     lo, hi = to_date_value(date_from), to_date_value(date_to)
-    # read twice below (joined by client, and as the set of primary accounts);
-    # small: one row per searched client
-    awt = reuse(accounts_with_tellers(wh, accounts))
+    search = searched_clients(wh, accounts)
     fl = latest_snapshot(wh["factloanaccountdailycoverage"], "coveragedatekey")
     app_date = fn.date_from_key("lastadvancedatekey")
     # the range of the key reaches the scan; the date test drops keys that are no day
     fl = fl.filter(F.col("lastadvancedatekey").between(date_key(lo), date_key(hi)) & app_date.isNotNull())
-    # The searched clients are the most selective input: keep only their loan
-    # rows before the wide joins (exact: the inner join with ``awt`` below
-    # drops every other row anyway).
-    searched_keys = scd2_current(wh["dimclient"]).join(
-        awt.select(F.col("cif").alias("__scif")), F.col("cifnumber") == F.col("__scif"), "left_semi") \
-        .select(F.col("clientkey").alias("__sk"))
-    fl = fl.join(searched_keys, F.col("clientkey") == F.col("__sk"), "left_semi")
+    fl = fl.select("accountkey", "clientkey", "productkey", "lastadvancedatekey", "lastarrearsdatekey",
+                   "arrearsinstallmentcount", "loanbalanceamount", "loanarrearsamount",
+                   "loanofficertellerkey", "clientcollectionskey")
     da = scd2_current(wh["dimaccount"]).select(F.col("accountkey").alias("__lak"),
                                                F.col("accountnumberwithcheckdigit").alias("loan_contract"))
     fca = wh["factcapout"].select(F.col("accountkey").alias("__cak"), "advanceamount",
                                   "transactionbranchkey")
-    dc = scd2_current(wh["dimclient"]).select(F.col("clientkey").alias("__ck"), "cifnumber",
-                                              "cifwithcheckdigit", "partyidentifiertypenumber",
-                                              "clientcreatedate")
     fcl = latest_snapshot(wh["factclient"], "clientsnapshotdatekey").select(
         F.col("clientkey").alias("__fck"), F.col("employerkey").alias("__fek"),
         F.col("primarydepositaccountnumber").alias("__ppan"))
@@ -113,10 +118,12 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
     dt = scd2_current(wh["dimteller"]).select(F.col("tellerkey").alias("__tk"),
                                               F.col("tellernumber").alias("__t_no"),
                                               F.col("tellername").alias("__t_name"))
+    # the primary deposit account must be one found for a searched client
     da2 = scd2_current(wh["dimaccount"]).select(F.col("accountkey").alias("__dak"),
                                                 F.col("accountnumber").alias("__dan"),
-                                                F.col("accountnumberwithcheckdigit")
-                                                 .alias("primary_deposit_account"))
+                                                F.col("accountnumberwithcheckdigit").alias("__pda"))
+    da2 = da2.join(search.select(F.col("primary_deposit_account").alias("__spda")),
+                   F.col("__pda") == F.col("__spda"), "left_semi")
     fd = latest_snapshot(wh["factdepositaccountdailycoverage"], "coveragedatekey").select(
         F.col("accountkey").alias("__fdk"), "currentbalanceamount", "stopsonaccountcount")
     db = wh["dimbranch"].select(F.col("branchkey").alias("__bk"), "branchname", "provincename")
@@ -127,24 +134,22 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
         F.col("clientcollectionskey").alias("__cck"), "clientstatusname")
     # days as a range of the column itself, so that the scan sees it; outcomes of the searched
     # clients only, before the scoring joins (exact: the join by CIF below drops the others)
-    searched_cif = scd2_current(wh["dimclient"]).join(
-        awt.select(F.col("cif").alias("__scif")), F.col("cifnumber") == F.col("__scif"), "left_semi") \
-        .select(F.col("cifwithcheckdigit").alias("__scw"))
     cao = wh["creditapplicationoutcome"].filter(
         F.col("clienttype").isin(list(client_types)) & (F.col("lrid_date") >= F.lit(lo))
         & (F.col("lrid_date") < F.date_add(F.lit(hi), 1))) \
-        .join(searched_cif, F.col("cifwithcheckdigit") == F.col("__scw"), "left_semi") \
+        .join(search.select(F.col("cifwithcheckdigit").alias("__scw")),
+              F.col("cifwithcheckdigit") == F.col("__scw"), "left_semi") \
         .select(F.col("cifwithcheckdigit").alias("__cao_cif"), "clienttype", "logical_record_id")
     sma = wh["dbo_smapplication"].select(F.col("logicalrecordid").alias("__sma"), "loanpurpose",
                                          "retailername")
     smr = wh["dbo_smsmresults"].select(F.col("logicalrecordid").alias("__smr"), "privatesector")
     gd = wh["dbo_gdcreditpolicystrategy"].select(F.col("logicalrecordid").alias("__gd"), "score_mi")
 
-    j = (fl.join(da, F.col("__lak") == F.col("accountkey"))
+    # the searched clients are the most selective input: their loan rows first
+    j = (fl.join(search.drop("primary_deposit_account"), "clientkey")
+           .join(da, F.col("__lak") == F.col("accountkey"))
            .join(fca, F.col("__cak") == F.col("accountkey"), "left")
-           .join(dc, F.col("__ck") == F.col("clientkey"))
-           .join(awt.select("cif", "teller_key"), F.col("cif") == F.col("cifnumber"))
-           .join(fcl, F.col("__fck") == F.col("__ck"))
+           .join(fcl, F.col("__fck") == F.col("clientkey"))
            .join(de, F.col("__ek") == F.col("__fek"))
            .join(dp, F.col("__pk") == F.col("productkey"))
            .join(dt, F.col("__tk") == F.col("teller_key"))
@@ -153,15 +158,12 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
            .join(db, F.col("__bk") == F.col("transactionbranchkey"), "left")
            .join(dt2, F.col("__t2k") == F.col("loanofficertellerkey"), "left")
            .join(dcc, F.col("__cck") == F.col("clientcollectionskey"), "left"))
-    # the primary deposit account must be one found for a searched client
-    j = j.join(awt.select(F.col("primary_deposit_account").alias("__pda")).distinct(),
-               F.col("primary_deposit_account") == F.col("__pda"), "left_semi")
     loan_side = dedup(j.select(
         F.col("partyidentifiertypenumber").alias("id_number"),
         F.col("cifwithcheckdigit").alias("cif_check_digit"),
         F.col("clientcreatedate").alias("client_create_date"),
         fn.teller_label("__t_no", "__t_name").alias("create_teller"),
-        "primary_deposit_account",
+        F.col("__pda").alias("primary_deposit_account"),
         F.col("currentbalanceamount").alias("dep_bal"),
         fn.flag_yes_no("stopsonaccountcount").alias("account_stopped"),
         "loan_contract",

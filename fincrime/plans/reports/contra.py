@@ -9,7 +9,6 @@ snapshot, employer) and debit side lookups -> newest pair per main client
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 
 from fincrime import functions as fn
 from fincrime.operators import (contra_entry_match, dedup, flagged_accounts, latest_snapshot,
-                                number_rows, semi_join_keys)
-from fincrime.plans.reports.common import current, date_key, to_date_value
+                                number_rows, recent_ledger, semi_join_keys)
+from fincrime.plans.reports.common import current, to_date_value
 from fincrime.sources.catalog import Warehouse
 
 REQUIRED = {
@@ -47,15 +46,10 @@ def recent_transactions(wh: Warehouse, as_of=None, days: int = 30, faithful: boo
     """Ledger rows posted from the first day of the month holding
     ``as_of - days``, with transaction code, time key and calendar date.
 
-    The date test is on the raw integer key, so it is pushed into the scan
-    (and prunes partitions when the ledger is partitioned by it)."""
-    start = to_date_value(as_of) - _dt.timedelta(days=days)
-    ft = wh["facttransaction"]
-    if faithful:
-        d = fn.date_from_key("postedtransactiondatekey")
-        ft = ft.filter((F.year(d) >= start.year) & (F.month(d) >= start.month))
-    else:
-        ft = ft.filter(F.col("postedtransactiondatekey") >= date_key(start.replace(day=1)))
+    The date test is on the raw integer key, so it is pushed into the scan; on
+    a ledger partitioned by posted month both roles that read it prune the
+    partitions (the flagged accounts come from all history)."""
+    ft = recent_ledger(wh["facttransaction"], to_date_value(as_of), days, "postedtransactiondatekey", faithful)
     cls = current(wh["vwdimtransactionclassification"], current_only).select(
         F.col("transactionclassificationkey").alias("__tck"), "transactioncode")
     ti = wh["dimtime"].select(F.col("timekey"))

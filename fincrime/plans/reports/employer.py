@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fincrime import functions as fn
-from fincrime.operators import dedup, latest_snapshot, scd2_current, semi_join_keys
+from fincrime.operators import dedup, flag_keys, latest_snapshot, scd2_current, semi_join_keys
 from fincrime.sources.catalog import Warehouse
 
 REQUIRED = {
@@ -44,27 +44,28 @@ def _blank(name: str):
     return F.lit("").alias(name)
 
 
-def employer_accounts(wh: Warehouse, search: Sequence[str], application_company: str = "",
+def employer_accounts(wh: Warehouse, search: Sequence[str] | DataFrame, application_company: str = "",
                       faithful: bool = False) -> DataFrame:
     """Rows for clients whose current employer number (with check digit) is
-    searched, or for searched accounts (with check digit).
+    searched, or for searched accounts (with check digit).  ``search`` is a list
+    or a DataFrame (first column) of any size that holds numbers of both kinds.
 
     Default reading: newest snapshot AND (employer OR account).
     ``faithful=True`` keeps the source's precedence: (newest snapshot AND
     employer) OR account, any snapshot."""
     wh.validate(REQUIRED)
-    search = list(search)
     fc_all = wh["factclient"]
     fc_new = latest_snapshot(fc_all, "clientsnapshotdatekey")
-    de = scd2_current(wh["dimemployer"])
-    da_all = scd2_current(wh["dimaccount"])
+    de = flag_keys(scd2_current(wh["dimemployer"]), "employernumberwithcheckdigit", search, "__emp_hit")
+    da_all = flag_keys(scd2_current(wh["dimaccount"]), "accountnumberwithcheckdigit", search, "__acc_hit")
     dc = scd2_current(wh["dimclient"])
 
     # Narrow the snapshot rows before the wide joins: clients of a searched
     # employer UNION clients owning a searched account (the exact row test
     # is applied again after the joins).
-    emp_keys = semi_join_keys(de, "employernumberwithcheckdigit", search).select("employerkey")
-    owner_cifs = semi_join_keys(da_all, "accountnumberwithcheckdigit", search) \
+    emp_keys = semi_join_keys(scd2_current(wh["dimemployer"]), "employernumberwithcheckdigit", search) \
+        .select("employerkey")
+    owner_cifs = semi_join_keys(scd2_current(wh["dimaccount"]), "accountnumberwithcheckdigit", search) \
         .select(F.col("clientnumber").alias("__own"))
     owner_keys = dc.join(owner_cifs, F.col("cifnumber") == F.col("__own"), "left_semi").select("clientkey")
     by_emp = fc_new.join(emp_keys, "employerkey", "left_semi")
@@ -78,11 +79,11 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
     dad = scd2_current(wh["dimaddress"]).select(
         F.col("addresskey").alias("__ad"), "addressline1text", "addressline2text", "addressline3text",
         "addresspostcode")
-    de_sel = de.select(F.col("employerkey").alias("__ek"), "employername", "employernumberwithcheckdigit")
+    de_sel = de.select(F.col("employerkey").alias("__ek"), "employername", "__emp_hit")
     da = da_all.select(F.col("accountkey").alias("__ak"), F.col("clientnumber").alias("__acl"),
                        F.col("accountnumberwithcheckdigit").alias("__acc_no"),
-                       "accounttypecode", "accountcategorycode", "accountstatusname", "accountopendate")
-    da2 = da_all.select(F.col("accountnumber").alias("__pan"),
+                       "accounttypecode", "accountcategorycode", "accountstatusname", "accountopendate", "__acc_hit")
+    da2 = scd2_current(wh["dimaccount"]).select(F.col("accountnumber").alias("__pan"),
                         F.col("accountnumberwithcheckdigit").alias("primary_deposit_account"))
     dcc = scd2_current(wh["dimclientcollections"]).select(
         F.col("clientcollectionskey").alias("__cck"), "clientstatusname")
@@ -104,7 +105,7 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
     # (loan INNER JOIN advance) as one right side: padded only when both miss;
     # its branch comes from the client summary of the loan's client.
     # Only the accounts of the narrowed clients can reach the result.
-    cand = da_all.join(fc.join(dc.select("clientkey", F.col("cifnumber").alias("__cc")), "clientkey")
+    cand = scd2_current(wh["dimaccount"]).join(fc.join(dc.select("clientkey", F.col("cifnumber").alias("__cc")), "clientkey")
                          .select("__cc"), F.col("clientnumber") == F.col("__cc"), "left_semi") \
         .select(F.col("accountkey").alias("__cand"))
     loan = wh["factloanaccountdailycoverage"].join(
@@ -137,8 +138,7 @@ def employer_accounts(wh: Warehouse, search: Sequence[str], application_company:
            .join(dp, F.col("__pc") == fn.composite_key("accounttypecode", "accountcategorycode"))
            .join(loan_side, F.col("__lk") == F.col("__ak"), "left")
            .join(card_side, F.col("__cck2") == F.col("__ak"), "left"))
-    emp_hit = F.col("employernumberwithcheckdigit").isin(search)
-    acc_hit = F.col("__acc_no").isin(search)
+    emp_hit, acc_hit = F.col("__emp_hit"), F.col("__acc_hit")
     if faithful:
         newest = fc_new.select(F.max("clientsnapshotdatekey")).scalar()
         j = j.filter(((F.col("clientsnapshotdatekey") == newest) & emp_hit) | acc_hit)

@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fincrime import functions as fn
-from fincrime.operators import (code_lookup, decode, dedup, latest_per_key, scd2_current,
+from fincrime.operators import (code_lookup, code_map_lookup, code_maps, decode, dedup, latest_per_key, scd2_current,
                                 semi_join_keys)
 from fincrime.sources.catalog import Warehouse
 
 # Terminal type code -> device type.
 TERMINAL_TYPES = {"00": "NAD", "01": "POS"}
 
+# Columns of a message with a code of the indicator table -> that table's code and name columns.
+CODES = {
+    "tran_type": ("cardtransactiontypecode", "cardtransactiontypename"),
+    "rsp_code_req": ("cardresponsecode", "cardresponsename"),
+    "pos_entry_mode": ("pointofserviceentrymodecode", "pointofserviceentrymodename"),
+    "message_type": ("messagetypecode", "messagetypename"),
+}
+
 REQUIRED = {
     "vwpost_tran_leg_internal": ["datetime_req", "datetime_tran_local", "pan", "card_no_id",
                                  "tran_amount_req", "settle_amount_req", "tran_type", "message_type",
@@ -53,15 +61,9 @@ def tollgate(wh: Warehouse, accounts: Sequence[str] | DataFrame, merchant_type:
     p = wh["vwpost_tran_leg_internal"].filter(
         (F.col("tran_postilion_originated") == 0) & (F.col("hold_response_key") != exclude_response)
         & (F.col("merchant_type") == merchant_type) & (F.col("rowiscurrent") == 1))
-    ind = wh["dimcardtransactionindicators"]
-    p = code_lookup(p, ind, "tran_type", "cardtransactiontypecode",
-                    ["cardtransactiontypecode", "cardtransactiontypename"], current_only=True)
-    p = code_lookup(p, ind, "rsp_code_req", "cardresponsecode",
-                    ["cardresponsecode", "cardresponsename"], current_only=True)
-    p = code_lookup(p, ind, "pos_entry_mode", "pointofserviceentrymodecode",
-                    ["pointofserviceentrymodecode", "pointofserviceentrymodename"], current_only=True)
-    p = code_lookup(p, ind, "message_type", "messagetypecode",
-                    ["messagetypecode", "messagetypename"], current_only=True)
+    maps = code_maps(wh["dimcardtransactionindicators"], CODES, current_only=True)
+    for column, (code, name) in CODES.items():
+        p = code_map_lookup(p, maps, column, column, code, name)
     p = code_lookup(p, wh["dimmerchantcategory"], "merchant_type", "merchantcategorycode",
                     ["merchantcategoryname"], current_only=True)
     p = decode(p, "pos_terminal_type", terminal_types or TERMINAL_TYPES, "device_type")

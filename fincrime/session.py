@@ -8,7 +8,9 @@ scripts, tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,16 +59,26 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (tests,
-    local bench) create a scratch one.  Never overrides a configured one."""
+    """The cluster's checkpoint folder.  Only where none is set a scratch one is
+    made, and only in a local session (tests, the bench): executors of a cluster
+    don't share a machine's folders, so there it raises.  Never overrides a
+    configured one."""
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
-    d = fallback or tempfile.mkdtemp(prefix="fincrime-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if not fallback:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; executors of a cluster need a shared folder")
+        fallback = tempfile.mkdtemp(prefix="fincrime-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sparkContext.setCheckpointDir(fallback)
+    return fallback
+
+
+def new_shared_path(spark: SparkSession, tag: str) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -82,13 +94,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage safely")
         spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """An intermediate that a plan reads more than once: written once to the
-    cluster's shared checkpoint folder when the session names one (a reliable
-    checkpoint, so later reads and recoveries never recompute it); without
-    one it stays plain lineage and is computed once per use."""
-    if checkpoint_dir(df.sparkSession):
-        return cut_lineage(df)
-    return df

@@ -51,6 +51,11 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(23,2)")
 
 
+def _share(amount: Column, rate: Column) -> Column:
+    """A part of an amount, exact in decimals and rounded half up to cents."""
+    return _money(_money(amount) * rate.cast("decimal(4,2)"))
+
+
 def _card(k: Column) -> Column:
     return F.concat(F.lit("4"), _pad(k, 9))
 
@@ -299,7 +304,7 @@ class DerivedWarehouse:
                 day.alias("coveragedatekey"), _key(F.col("o_orderdate")).alias("lastadvancedatekey"),
                 _key(s).alias("lastarrearsdatekey"), F.col("l_linenumber").alias("arrearsinstallmentcount"),
                 _money(F.col("l_extendedprice")).alias("loanbalanceamount"),
-                _money(F.col("l_extendedprice") * F.col("l_discount")).alias("loanarrearsamount"),
+                _share(F.col("l_extendedprice"), F.col("l_discount")).alias("loanarrearsamount"),
                 F.col("l_suppkey").alias("loanofficertellerkey"),
                 (F.col("l_linenumber") % 5).cast("bigint").alias("clientcollectionskey"))
         # daily rows, plus the closing snapshot of every loan line
@@ -312,8 +317,8 @@ class DerivedWarehouse:
             _pad(F.col("l_orderkey"), 9).alias("accountnumber"),
             _money(F.col("o_totalprice")).alias("creditlimitamount"),
             _money(-F.col("l_extendedprice")).alias("currentbalanceamount"),
-            _money(F.col("l_extendedprice") * F.col("l_tax")).alias("arrearsamount"),
-            _money(F.col("o_totalprice") / 2).alias("qualifycreditlimitamount"),
+            _share(F.col("l_extendedprice"), F.col("l_tax")).alias("arrearsamount"),
+            _share(F.col("o_totalprice"), F.lit("0.50")).alias("qualifycreditlimitamount"),
             F.concat(F.lit("D"), (F.col("l_linenumber") % 4).cast("string")).alias("delinquencytext"),
             (F.col("l_linenumber") % 4).alias("delinquentlevelnumber"),
             (F.col("l_linenumber") * 30).alias("daysinarrearsnumber"),
@@ -353,7 +358,8 @@ class DerivedWarehouse:
             F.col("l_linenumber").cast("bigint").alias("postedtransactiontimekey"),
             F.col("l_partkey").cast("string").alias("journalnumber"))
         roles = F.when(F.col("l_linestatus") == "F", F.array(debit, credit)).otherwise(F.array(debit))
-        return li.select(F.explode(roles).alias("e")).select("e.*")
+        return li.select(F.explode(roles).alias("e")).select("e.*").withColumn(
+            "postedmonth", F.expr("cast(postedtransactiondatekey div 100 as int)"))
 
     def vwpost_tran_leg_internal(self) -> DataFrame:
         e = self.t.events
@@ -483,6 +489,9 @@ RELATIONS = [
     "d_client", "d_teller",
 ]
 
+# Columns by which a relation's files are partitioned.
+PARTITIONS = {"facttransaction": ["postedmonth"]}
+
 
 def warehouse_from_driver(spark: SparkSession, sf_dir: str) -> Warehouse:
     """All report relations derived from one folder of driver tables."""
@@ -497,7 +506,9 @@ def materialise(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     folder) and return a catalogue that reads them, as a real warehouse is read."""
     wh = warehouse_from_driver(spark, sf_dir)
     for name in RELATIONS:
-        wh[name].write.mode("overwrite").parquet(f"{root}/{name}")
+        by = PARTITIONS.get(name, [])
+        df = wh[name].repartition(*by) if by else wh[name]
+        (df.write.partitionBy(*by) if by else df.write).mode("overwrite").parquet(f"{root}/{name}")
     srcs = {name: f"{root}/{name}" for name in RELATIONS}
     srcs["vwfacttransaction"] = srcs["facttransaction"]
     return Warehouse(spark, srcs)

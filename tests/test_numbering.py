@@ -9,6 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fincrime.operators import number_rows
+from fincrime.operators import numbering
+from fincrime.operators.numbering import global_rank
 
 
 def same(df, keys, order, ties, ascending):
@@ -51,3 +53,67 @@ def test_hot_key_spread_over_buckets(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "__bucket" in plan           # no window over all rows is by the key alone
     assert out.filter("k = 0").agg(F.max("rn")).first()[0] == 15000
+
+
+@pytest.fixture
+def small_ranges(monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS", 100)
+    monkeypatch.setattr(numbering, "SAMPLE", 3000)
+
+
+def ranges(df) -> int:
+    """Groups of the window that numbers rows: ranges of hot keys and the other keys."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bucket" in plan
+    return plan.count("__bucket")
+
+
+def test_constant_first_column_is_cut_by_the_next(spark, small_ranges):
+    rows = [(0, "same", i % 7 if i % 11 else None, i) for i in range(4000)] + [(k, "same", 1, k) for k in range(1, 50)]
+    df = spark.createDataFrame(rows, "k int, a string, b int, id int")
+    out = number_rows(df, ["k"], ["a", "b"], ties=["id"], ascending=True)
+    assert ranges(out)
+    same(df, ["k"], ["a", "b"], ["id"], True)
+    same(df, ["k"], ["a", "b"], ["id"], False)
+    found = numbering._splits(df, ["k"], [(F.col("a"), True), (F.col("b"), True), (F.col("id"), True)], 4049, 1).collect()
+    assert [r["k0"] for r in found] == [0] and 20 <= len(found[0]["__splits"]) <= numbering.SAMPLE // 4
+
+
+def test_mixed_directions_and_values_without_order(spark, small_ranges):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([0, 0, 0, 1, None]), rnd.choice([None, float("nan"), -0.0, 0.0, 2.5]), rnd.choice(["x", "y", None]), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, x double, s string, id int")
+    got = number_rows(df, ["k"], [("x", False)], ties=[("s", True), ("id", False)])
+    assert ranges(got)
+    w = Window.partitionBy("k").orderBy(F.col("x").desc_nulls_last(), F.col("s").asc_nulls_last(), F.col("id").desc_nulls_last())
+    want = df.withColumn("rn", F.row_number().over(w))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_sample_of_another_table_steers_balance_only(spark, small_ranges):
+    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id"))
+    other = spark.range(500).select(F.lit(1).alias("k"), (F.col("id") * 3).alias("id"))
+    out = number_rows(df, ["k"], ["id"], ties=[], ascending=True, sample_of=other)
+    assert ranges(out) and out.filter("rn <> id + 1").count() == 0 and out.count() == 2000
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_global_rank_is_the_row_number_over_everything(spark, small_ranges, ascending):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, rnd.randint(0, 40)]), rnd.choice("ab"), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "v int, s string, id int")
+    out = global_rank(df, [("v", ascending), ("s", not ascending), ("id", True)])
+    key = lambda r: (r[0] is None, (r[0] or 0) * (1 if ascending else -1), ord(r[1]) * (-1 if ascending else 1), r[2])
+    want = {r[2]: i + 1 for i, r in enumerate(sorted(rows, key=key))}
+    got = {r["id"]: r["rank"] for r in out.collect()}
+    assert got == want and dict(out.dtypes)["rank"] == "bigint"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_global_rank_of_few_and_no_rows(spark):
+    df = spark.createDataFrame([(2,), (1,)], "v int")
+    assert sorted(tuple(r) for r in global_rank(df, [("v", True)]).collect()) == [(1, 1), (2, 2)]
+    assert global_rank(df.limit(0), [("v", True)]).count() == 0
+    assert number_rows(df.limit(0), ["v"], ["v"], ties=[]).count() == 0
