@@ -65,6 +65,13 @@ def _splits(source: DataFrame, keys: Sequence[str], order: Sequence[Ordered], to
             .agg(F.collect_set(F.struct(*[f"o{i}" for i in range(len(order))])).alias(_SPLITS))
 
 
+def _any_hot(source: DataFrame, keys: Sequence[str], total: int) -> bool:
+    """Whether the sample shows a key with more than ``ROWS`` rows: one small count, without the cuts."""
+    share = min(1.0, SAMPLE / total)
+    n = source.sample(share, seed=7).groupBy(*keys).count()
+    return bool(n.filter((F.col("count") >= LEAST) & (F.col("count") > ROWS * share)).head(1))
+
+
 def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Ordered], rest: Sequence[Column] = (),
                          name: str = "rn", sample_of: DataFrame | None = None, kind: str = "int") -> DataFrame:
     """``row_number()`` per ``keys`` by ``order``, then by ``rest`` (Columns with
@@ -77,7 +84,7 @@ def number_rows_balanced(df: DataFrame, keys: Sequence[str], order: Sequence[Ord
     sort = [*[_sorted(v, a) for v, a in order], *rest]
     total = source.count()
     splits = None
-    if order and (total > ROWS or not keys):
+    if order and (not keys or total > ROWS and _any_hot(source, keys, total)):
         least = 1 if keys else source.sparkSession.sparkContext.defaultParallelism
         found = _splits(source, keys, order, max(total, 1), least)
         rows = [r for r in found.collect() if r[_SPLITS]]
