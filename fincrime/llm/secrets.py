@@ -6,10 +6,15 @@ stop).  ``scan`` content-addresses every version of every path, scans only the
 pairs of blob and rule version that the ledger has not seen, appends them, and
 joins the findings back to all paths that hold the blob.
 
-Scale: a text is scanned once however many paths hold it, and no text is
-shuffled while the list of rows that need no scan is small: hashes and ids are
-grouped, and the texts meet only that list (broadcast below Spark's threshold,
-sorted and merged beyond).  Findings are a row a blob, few beside the texts.
+Scale: a text is scanned once however many paths hold it.  What to scan is
+decided on hashes and ids alone, and the decision meets the texts where they are
+read: a bitmap of bounded size (``BITS`` a pair, ``MOST_BITS`` at most) marks the
+pairs of id and blob that are not plainly scanned.  A row without a mark is
+scanned on the spot; of the marked rows only those that a second bitmap has, of
+the pairs which must be scanned and are marked by chance or for some rules only,
+are shuffled and joined exactly.  That is one plan at every size; where the
+bitmaps fill up, more texts are shuffled (all of them at worst) and the result is
+the same.  Findings are a row a blob, few beside the texts.
 
 Defined results: a null text is an empty one; repeated rows and equal texts
 have the same findings; rows with a null id are scanned and kept; an empty
@@ -18,6 +23,7 @@ table leaves the ledger empty; other columns are never read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -63,6 +69,8 @@ RULES = BASE + (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
 )
 
+BITS, MOST_BITS = 16, 1 << 25
+
 FINDINGS = "blob string, rule_version string, start long, stop long"
 SCANNED = "blob string, rule_version string"
 
@@ -101,6 +109,24 @@ def _ledger(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame
     return spark.read.schema(schema).parquet(f"{path}/{name}")
 
 
+def _bitmap(pairs: DataFrame) -> DataFrame:
+    """A bit for the hash ``h`` of each pair, as (size, word, bits); no row has a word without bits."""
+    size = min(MOST_BITS, 1 << max(6, math.ceil(math.log2(max(1, pairs.count()) * BITS))))
+    slot = F.col("h").bitwiseAND(F.lit(size - 1))
+    bits = pairs.select(F.shiftright(slot, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("b")) \
+                .groupBy("word").agg(F.bit_or("b").alias("bits"))
+    return written(bits.select(F.lit(size).alias("size"), "word", "bits"), "secret-bitmap")
+
+
+def _marked(rows: DataFrame, bitmap: DataFrame, keep: bool = True) -> DataFrame:
+    """``rows`` whose ``h`` has a bit (``keep=False``: has none).  A bitmap has at most MOST_BITS / 64 rows."""
+    size = bitmap.agg(F.coalesce(F.max("size"), F.lit(64))).first()[0]
+    word = F.shiftright(F.col("h").bitwiseAND(F.lit(size - 1)), 6)
+    j = rows.join(F.broadcast(bitmap.drop("size")), word == F.col("word"), "left")
+    bit = F.coalesce(F.expr("shiftrightunsigned(bits, cast(h & 63 as int)) & 1L"), F.lit(0))
+    return j.filter(bit == (1 if keep else 0)).drop("word", "bits")
+
+
 def scan(versions: DataFrame, ledger: str, id: str = "doc_id", text: str = "text",
          rules: Sequence[Rule] = RULES) -> DataFrame:
     """Brings the ledger up to date with ``versions`` (one row a path and
@@ -120,17 +146,23 @@ def scan(versions: DataFrame, ledger: str, id: str = "doc_id", text: str = "text
         F.coalesce("seen", F.array().cast("array<string>")), F.get(F.array(*map(F.lit, current)), k)))
     blobs = written(blobs.join(seen, "blob", "left").select("blob", "first", todo.alias("todo")), "secret-todo")
 
-    # 3. rows that need no scan: other holders of a blob, and blobs that the ledger knows
+    # 3. the decision for each pair of id and blob: which rules, if any
     b = blobs.select(F.col("blob").alias("b"), "first", "todo")
-    skip = written(ids.join(b, ids["blob"] == b["b"])
-                      .filter((F.size("todo") == 0) | (F.col("id") != F.col("first")))
-                      .select("id", "blob").distinct(), "secret-skip")
-    partly = blobs.filter((F.size("todo") > 0) & (F.size("todo") < len(rules)))
-    t = versions.select(F.col(id).alias("id"), whole(text).alias("t"), F.sha2(whole(text), 256).alias("blob"))
-    t = t.join(skip, ["id", "blob"], "left_anti").join(partly.drop("first"), "blob", "left")
-    every = F.array(*map(F.lit, range(len(rules))))
-    new = t.select("blob", "t", F.coalesce("todo", every).alias("todo")) \
-           .mapInArrow(_scanner(rules), FINDINGS).distinct()
+    pairs = written(ids.join(b, ids["blob"] == b["b"]).select("id", "blob", F.xxhash64("id", "blob").alias("h"), F.when(
+        F.col("id") != F.col("first"), F.array().cast("array<int>")).otherwise(F.col("todo")).alias("todo")).distinct(), "secret-pairs")
+    marks = _bitmap(pairs.filter(F.size("todo") < len(rules)))          # skipped, or scanned for some rules
+    listed = written(_marked(pairs.filter(F.size("todo") > 0), marks), "secret-listed")
+    lists = _bitmap(listed)
+
+    # 4. rows without a mark here and now; of the others those that are listed
+    t = versions.select(F.col(id).alias("id"), whole(text).alias("t"), F.sha2(whole(text), 256).alias("blob")) \
+                .withColumn("h", F.xxhash64("id", "blob"))
+    plain = _marked(t, marks, keep=False).select("blob", "t", F.array(*map(F.lit, range(len(rules)))).alias("todo"))
+    some = _marked(_marked(t, marks), lists).alias("s")
+    x = listed.alias("x").hint("merge")
+    some = some.join(x, F.col("s.id").eqNullSafe(F.col("x.id")) & (F.col("s.blob") == F.col("x.blob"))) \
+               .select("s.blob", "s.t", "x.todo")
+    new = plain.mapInArrow(_scanner(rules), FINDINGS).union(some.mapInArrow(_scanner(rules), FINDINGS)).distinct()
     # findings first: if the run dies between the two, the pairs are scanned again and found twice, which
     # distinct() below takes back
     new.write.mode("append").parquet(f"{ledger}/findings")
@@ -138,7 +170,7 @@ def scan(versions: DataFrame, ledger: str, id: str = "doc_id", text: str = "text
          .select("blob", F.get(F.array(*map(F.lit, current)), F.col("k")).alias("rule_version")) \
          .write.mode("append").parquet(f"{ledger}/scanned")
 
-    # 4. findings back to all paths
+    # 5. findings back to all paths
     # of the current versions only: what an older form of a rule found stays in the ledger, not in the result
     rank = F.array_position(F.array(*map(F.lit, current)), F.col("rule_version")).cast("int") - 1
     kind = F.get(F.array(*[F.lit(r.kind) for r in rules]), F.col("rank"))
@@ -156,7 +188,11 @@ def _joined(found) -> F.Column:
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    d = scan(table(spark, sf_dir, "documents"), shared_path(spark, "secret-ledger"))
+    """Two commits of the corpus into a new ledger: half of the documents by a
+    hash, then all; the second scans only blobs that the ledger has not seen."""
+    docs, ledger = table(spark, sf_dir, "documents"), shared_path(spark, "secret-ledger")
+    scan(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), ledger)
+    d = scan(docs, ledger)
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
     base = F.filter("found", lambda x: x["rank"] < len(BASE))
     return d.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
