@@ -7,6 +7,8 @@ SQL in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,10 +48,10 @@ def scan_base(c: Ctx) -> DataFrame:
 
 @key("scan_view")
 def scan_view(c: Ctx) -> DataFrame:
-    o = c.t.orders
-    o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey") \
-     .createOrReplaceTempView("fx_final_orders")
-    return c.spark.table("fx_final_orders")
+    # a name of its own: views belong to the session, and another folder's query may be open in it
+    name = f"fx_final_orders_{uuid.uuid4().hex}"
+    c.t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey").createTempView(name)
+    return c.spark.table(name)
 
 
 @key("multi_schema_catalogue")
