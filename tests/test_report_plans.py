@@ -63,6 +63,16 @@ def test_report_on_the_written_warehouse_equals_sql(spark, wh, name):
     assert normalise(df.columns, [tuple(r) for r in df.collect()]) == want and want[1]
 
 
+@pytest.mark.parametrize("name, columns, descending", [
+    ("full_arrears", ["id_number"], True), ("full_tollgate", ["tran_date"], False),
+    ("full_missed_fraud", ["csi_log_date", "amount"], False)])
+def test_report_rows_come_in_order(wh, name, columns, descending):
+    """Nulls last both ways, as a report's reader gets them."""
+    got = [tuple(r[c] for c in columns) for r in FULL_REPORTS[name](wh).select(*columns).collect()]
+    held = [r for r in got if None not in r]
+    assert held == sorted(held, reverse=descending) and got[:len(held)] == held
+
+
 def test_newest_rows_keeps_ties_and_last_nulls(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("a", 3, 3), ("a", None, 4), ("b", None, 5), (None, 2, 6)],
                                "k string, d int, i int")
