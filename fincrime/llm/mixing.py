@@ -12,8 +12,7 @@ One long document at the boundary leaves much of a budget, so ``mix`` goes on:
 in each pass those of the documents after the boundary that are at most half of
 what is left give another prefix, until none is that small; a pass leaves less
 than half.  Then the one document whose size is nearest to the rest is taken if
-that brings the words nearer to the target, from below or above.  ``op6`` keeps
-the prefix alone, which its SQL states.
+that brings the words nearer to the target, from below or above.
 
 Scale: the histogram has at most ``2 ** BITS`` rows a source and is summed
 before the shuffle, so a hot source costs no more than any other; the
@@ -24,8 +23,8 @@ configuration and is ranked as a whole.
 Defined results: null text has size 0; a source of null is a source of its own
 and comes last; a source of size 0 takes nothing; repeated rows have one hash
 and are taken together or not (the last 20 bits are of the text, so null and
-repeated ids of different texts have hashes of their own; ``op6`` uses the id
-alone); an empty table gives an empty mix.
+repeated ids of different texts have hashes of their own); an empty table gives
+an empty mix.
 """
 
 from __future__ import annotations
@@ -56,8 +55,8 @@ def hash_with_text(id: str, text: str) -> Column:
     return F.shiftleft(F.shiftright(hash60(id), 20), 20) + own
 
 
-def sized(df: DataFrame, id: str, text: str, source: str, h: Column | None = None) -> DataFrame:
-    return df.select(F.col(id).alias("id"), F.col(source).alias("source"), (hash60(id) if h is None else h).alias("h"),
+def sized(df: DataFrame, id: str, text: str, source: str) -> DataFrame:
+    return df.select(F.col(id).alias("id"), F.col(source).alias("source"), hash_with_text(id, text).alias("h"),
                      F.regexp_count(whole(text), F.lit(WORD)).cast("long").alias("size"))
 
 
@@ -168,38 +167,36 @@ def refined(units: DataFrame, g: DataFrame) -> DataFrame:
 
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
-        weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST, nearest: bool = True) -> DataFrame:
+        weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row a document: ``size``, ``source_size``, ``target`` of its source
-    and ``copies`` that the mix takes of it; ``h`` is its hash.  With ``nearest``
-    the mix goes on after the prefix, see above."""
-    sizes = written(sized(df, id, text, source, hash_with_text(id, text) if nearest else None), "mix-sizes")
+    and ``copies`` that the mix takes of it; ``h`` is its hash."""
+    sizes = written(sized(df, id, text, source), "mix-sizes")
     goal = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    cut = thresholds(sizes, goal)
-    out = [F.col("id").alias(id), "source", "size", "source_size", "target", "copies", "h"]
-    if not nearest:
-        cut = cut.select(F.col("source").alias("s"), "source_size", "target", "whole", "below")
-        copies = F.col("whole") + (F.col("h") < F.col("below")).cast("long")
-        return sizes.join(cut, sizes["source"].eqNullSafe(cut["s"])).withColumn("copies", copies).select(*out)
     units = written(sizes.groupBy("source", "h").agg(F.sum("size").alias("size")), "mix-units")
-    cut = refined(units, cut).select(F.col("source").alias("s"), "source_size", "target", "whole", "first", "passes", "extra")
+    cut = refined(units, thresholds(sizes, goal)).select(F.col("source").alias("s"), "source_size", "target", "whole", "first", "passes", "extra")
     u = units.join(cut, units["source"].eqNullSafe(cut["s"])) \
              .select(F.col("source").alias("s"), F.col("h").alias("uh"), "source_size", "target",
                      (F.col("whole") + _once_more("size").cast("long")).alias("copies"))
-    return sizes.join(u, (F.col("h") == F.col("uh")) & F.col("source").eqNullSafe(F.col("s"))).select(*out)
+    return sizes.join(u, (F.col("h") == F.col("uh")) & F.col("source").eqNullSafe(F.col("s"))) \
+                .select(F.col("id").alias(id), "source", "size", "source_size", "target", "copies", "h")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), nearest=False).select(
+    return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op6_sql() -> str:
     """The same by sorting; the water level is the smallest at which the sources
-    beyond their limit and the others together use the budget."""
+    beyond their limit and the others together use the budget.  ``p`` has a row
+    a source and pass: its prefix takes hashes from ``low`` to before ``high`` of
+    at most ``most`` words, and leaves ``rest``."""
     w = ", ".join(map(str, WEIGHTS))
+    end = 1 << (BITS * LEVELS)
     return rf"""
-with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
-             ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as h from documents),
+with recursive d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
+             (('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 15))::bigint // 1048576) * 1048576
+               + ('0x' || substr(md5(coalesce(text, '')), 1, 5))::bigint as h from documents),
 s as (select source, sum(size)::bigint as source_size,
         [{w}][(row_number() over (order by source nulls last) - 1) % {len(WEIGHTS)} + 1]::double as weight
       from d group by source),
@@ -213,10 +210,24 @@ l as (select min(rest / heavy) as level from lev where heavy > 0 and rest / heav
 t as (select source, source_size, least({MOST} * source_size,
         coalesce((select level from l), (select max(fill) from r)) * weight) as target from s),
 c as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole from t),
-o as (select d.doc_id, d.size, c.source_size, c.target, c.whole,
-        sum(d.size) over (partition by d.source order by d.h range between unbounded preceding and current row) as upto,
-        c.target - c.whole * c.source_size as budget
-      from d join c on d.source is not distinct from c.source)
-select doc_id, size, source_size, target,
-  (size * (whole + case when upto <= budget then 1 else 0 end))::bigint as taken from o
+u as (select source, h, sum(size)::bigint as size from d group by source, h),
+p as (
+  select x.source, 0 as n, 0::bigint as low, coalesce(min(h) filter (upto > x.rest), {end}) as high, {float(end)}::double as most,
+    any_value(x.rest) - coalesce(max(upto) filter (upto <= x.rest), 0) as rest
+  from (select c.source, target - whole * source_size as rest, h, sum(size) over (partition by c.source order by h) as upto
+        from c join u on u.source is not distinct from c.source) x group by x.source
+  union all
+  select x.source, any_value(x.n) + 1, any_value(x.low), coalesce(min(h) filter (upto > x.rest), {end}), any_value(x.most),
+    any_value(x.rest) - coalesce(max(upto) filter (upto <= x.rest), 0)
+  from (select p.source, p.n, p.high as low, p.rest / 2 as most, p.rest, h, sum(size) over (partition by p.source order by h) as upto
+        from p join u on u.source is not distinct from p.source where h >= p.high and size <= p.rest / 2 and size > 0) x
+  group by x.source),
+o as (select u.*, target > whole * source_size and exists (select 1 from p where p.source is not distinct from u.source
+        and u.h >= p.low and u.h < p.high and u.size <= p.most and (p.n = 0 or u.size > 0)) as more,
+        (select arg_min(p.rest, -p.n) from p where p.source is not distinct from u.source) as rest
+      from u join c on u.source is not distinct from c.source),
+e as (select source, arg_min(h, (abs(rest - size), h)) as h from o where not more and abs(rest - size) < rest group by source)
+select doc_id, d.size, source_size, target, (d.size * (whole + case when o.more or e.h is not null then 1 else 0 end))::bigint as taken
+from d join c on d.source is not distinct from c.source join o on o.source is not distinct from d.source and o.h = d.h
+  left join e on e.source is not distinct from d.source and e.h = d.h
 """
