@@ -14,10 +14,11 @@ all marks, so at a mark after another character all paths converge.  The text
 between two such boundaries has the same ids wherever it stands; they are kept
 in a bounded table in each task.
 
-Defined results: a null text has null ids; an empty text has none; decoding
-gives the text back exactly, but for marks in the text itself, which come back
-as blanks; repeated rows encode alike; an empty table gives an empty one; other
-columns are never read.
+Defined results: a null text has null ids; an empty text has none; a mark in the
+text itself becomes the pieces of its bytes, so that decoding gives every text
+back exactly; ids that are null or out of range, or whose bytes make no UTF-8,
+decode to null, as null ids do; repeated rows encode alike; an empty table gives
+an empty one; other columns are never read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from fincrime.llm.common import table
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
+LITERAL = "\ud800"           # stands for a mark of the text itself; no valid text holds it
 KEPT = 500_000               # entries of the table of encoded stretches
 LONGEST = 64                 # characters of a stretch in it
 NONE = float("-inf")
@@ -71,6 +73,15 @@ class Vocabulary:
         return cls([(sp.id_to_piece(i), sp.get_score(i), kind(i)) for i in range(sp.vocab_size())])
 
 
+def _utf8(c: str) -> bytes:
+    return (MARK if c == LITERAL else c).encode()
+
+
+def _marked(text: str) -> str:
+    """Marks for blanks; the text's own marks are covered by no piece and become their bytes."""
+    return text.replace(MARK, LITERAL).replace(" ", MARK)
+
+
 def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
     """Ids of ``text`` (with marks), committed in parts as soon as they are final.
 
@@ -137,7 +148,7 @@ def _path(back: deque, low: int, end: int, v: Vocabulary) -> list[int]:
     ids: list[int] = []
     while end > low:
         end, piece = back[end - low]
-        ids.extend(reversed([v.bytes[b] for b in piece.encode()] if isinstance(piece, str) else [piece]))
+        ids.extend(reversed([v.bytes[b] for b in _utf8(piece)] if isinstance(piece, str) else [piece]))
     return ids[::-1]
 
 
@@ -164,7 +175,7 @@ def _short(s: str, v: Vocabulary) -> list[int]:
     ids: list[int] = []
     while n:
         if pieces[n] < 0:
-            ids.extend(reversed([v.bytes[b] for b in s[n - 1].encode()]))
+            ids.extend(reversed([v.bytes[b] for b in _utf8(s[n - 1])]))
         else:
             ids.append(pieces[n])
         n = starts[n]
@@ -173,7 +184,7 @@ def _short(s: str, v: Vocabulary) -> list[int]:
 
 def encode_whole(text: str, v: Vocabulary) -> list[int]:
     """``text`` in one search."""
-    return [i for part in viterbi(MARK + text.replace(" ", MARK), v) for i in part] if text else []
+    return [i for part in viterbi(MARK + _marked(text), v) for i in part] if text else []
 
 
 class Stretches(dict):
@@ -204,14 +215,20 @@ class Codec:
             return np.zeros(0, np.int32)
         if not self.v.mark_starts:
             return np.array(encode_whole(text, self.v), np.int32)
-        parts = text.replace(MARK, " ").split(" ")
+        parts = text.replace(MARK, LITERAL).split(" ")
         # marks that follow each other stay together: pieces may be all marks
         if "" in parts:
             parts = _joined(parts)
         return np.frombuffer(b"".join(map(self.table.__getitem__, parts)), np.int32)
 
-    def decode(self, ids: Sequence[int]) -> str:
-        return b"".join(map(self.v.decoded.__getitem__, ids)).decode()[1:]
+    def decode(self, ids: Sequence[int | None]) -> str | None:
+        """The text; None if an id is null or out of range, or if bytes make no UTF-8."""
+        try:
+            if len(ids) and min(ids) < 0:
+                return None
+            return b"".join(map(self.v.decoded.__getitem__, ids)).decode().removeprefix(" ")
+        except (TypeError, IndexError, UnicodeDecodeError):      # a null, out of range, no UTF-8
+            return None
 
 
 def _joined(parts: list[str]) -> list[str]:
@@ -244,7 +261,7 @@ def _encoder(model):
                 part = b.slice(lo, 200)
                 texts = part.column("t").to_pylist()
                 ids = [codec.encode(t or "") for t in texts]
-                same = [None if t is None else codec.decode(i.tolist()) == t.replace(MARK, " ") for t, i in zip(texts, ids)]
+                same = [None if t is None else codec.decode(i.tolist()) == t for t, i in zip(texts, ids)]
                 ends = pa.array(np.cumsum([0] + [len(i) for i in ids]), pa.int32())
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids)),
                                                  mask=pa.array([t is None for t in texts]))
