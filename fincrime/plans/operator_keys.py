@@ -56,14 +56,14 @@ def scan_view(c: Ctx) -> DataFrame:
 
 @key("multi_schema_catalogue")
 def multi_schema_catalogue(c: Ctx) -> DataFrame:
-    # one short name in two schemas: a qualified name says which, in any case
-    party = {"core.dimparty": c.t.customer.select(F.col("c_nationkey").alias("NationKey"), F.col("c_custkey").alias("PartyKey")),
-             "mis.dimparty": c.t.supplier.select(F.col("s_nationkey").alias("nationkey"), F.col("s_suppkey").alias("partykey")),
-             "core.dimnation": c.t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"))}
-    wh = Warehouse(c.spark, party)
-    clients, agents = wh["CORE.DimParty"], wh["mis.DIMPARTY"].withColumnRenamed("partykey", "agentkey")
-    n = wh["dimnation"].filter(F.col("name") < "NATION_2")
-    return clients.join(n, "nationkey", "left_semi").join(agents, "nationkey").select("partykey", "agentkey")
+    # one short name in two schemas: a qualified name says which, in any case; a short name that only one has needs no schema
+    t = c.t
+    wh = Warehouse(c.spark, {
+        "core.dimparty": t.customer.select(F.col("c_custkey").alias("PartyKey"), F.col("c_nationkey").alias("NationKey")),
+        "mis.dimparty": t.supplier.select(F.col("s_suppkey").alias("partykey"), F.col("s_name").alias("agentname")),
+        "core.dimnation": t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("nationname"))})
+    return wh["CORE.DimParty"].join(wh["mis.DIMPARTY"], "partykey", "left").join(wh["dimnation"], "nationkey") \
+        .select("partykey", "agentname", "nationname")
 
 
 @key("report_output")

@@ -90,8 +90,8 @@ QUERIES: dict[str, str] = {
     # scans, sources
     "scan_base": "select * from customer",
     "scan_view": "select * from (select o_orderkey,o_custkey from orders where o_orderstatus='F') v",
-    "multi_schema_catalogue": ("select c_custkey as partykey, s_suppkey as agentkey from customer join nation on "
-                               "n_nationkey=c_nationkey and n_name<'NATION_2' join supplier on s_nationkey=c_nationkey"),
+    "multi_schema_catalogue": ("select c_custkey as partykey, s_name as agentname, n_name as nationname from customer "
+                               "left join supplier on s_suppkey=c_custkey join nation on n_nationkey=c_nationkey"),
     "report_output": ("select o_orderkey, o_custkey, 'partition' as read from orders where o_orderstatus='F' union all "
                       "select o_orderkey, o_custkey, 'whole' from orders"),
     "recent_ledger": (
