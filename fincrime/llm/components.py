@@ -16,7 +16,7 @@ from fincrime.llm.common import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``links`` (a, b: long, undirected) -> (node, label): for every node of a
+    """``links`` (a, b: of one type with an order, undirected) -> (node, label): for every node of a
     link the smallest node that it reaches."""
     both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                         .filter("a <> b").distinct(), "cc-links")

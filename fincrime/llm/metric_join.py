@@ -21,8 +21,9 @@ pivot.  The pivots affect speed only, never the result.
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component, and rows with a null label, link with nothing; vectors of
 different lengths do not link; rows that repeat a vec_id are vectors of their
-own that share a component; an empty table gives an empty one; other columns
-are never read.
+own that share a component; a null vec_id links like any other and has the
+component's smallest id that is not null (null where all are); an empty table
+gives an empty one; other columns are never read.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def pivots_of(pts: DataFrame) -> dict[str, list]:
     return out
 
 
-def _assigner(pivots: dict[str, list]):
+def _assigner(pivots: dict[str, list], radius: float):
     units = {s: _unit(v) for s, v in pivots.items()}
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,8 +103,11 @@ def _assigner(pivots: dict[str, list]):
             for space, g in b.groupby("space"):
                 d = _distances(_unit(g["v"]), units[space]) if space in units else np.zeros((len(g), 1))
                 home = d.argmin(axis=1)
-                yield pd.DataFrame({"key": g["key"].to_numpy(), "space": space, "home": home.astype("int32"),
-                                    "near": d[np.arange(len(d)), home], "d": list(d)})
+                near = d[np.arange(len(d)), home]
+                # what the home's distance leaves within reach; the cells' radii narrow it further
+                cells = [np.flatnonzero(row <= limit) for row, limit in zip(d, near + 2 * radius)]
+                yield pd.DataFrame({"key": g["key"].to_numpy(), "space": space, "home": home.astype("int32"), "near": near,
+                                    "cells": [c.astype("int32") for c in cells], "far": [row[c] for row, c in zip(d, cells)]})
     return assign
 
 
@@ -144,12 +148,12 @@ def join(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: st
     pts, rows = points(df, id, vector, label)
     radius = math.sqrt(2.0 - 2.0 * cosine) + SLACK
     placed = pts.select("key", "space", "v").mapInPandas(
-        _assigner(pivots_of(pts)), "key string, space string, home int, near double, d array<double>")
+        _assigner(pivots_of(pts), radius), "key string, space string, home int, near double, cells array<int>, far array<double>")
     placed = written(placed, "join-cells")
     radii = placed.groupBy("space", "home").agg(F.max("near").alias("radius"), F.count("*").alias("homes"))
     # (key, cell) of all points: the home, and the cells within reach
-    reach = placed.select("key", "space", "home", "near", F.posexplode("d").alias("cell", "far")) \
-                  .filter((F.col("far") <= F.col("near") + 2 * radius) | (F.col("cell") == F.col("home")))
+    reach = placed.select("key", "space", "home", "near", F.explode(F.arrays_zip("cells", "far")).alias("x")) \
+                  .select("key", "space", "home", "near", F.col("x.cells").alias("cell"), F.col("x.far").alias("far"))
     r = radii.withColumnRenamed("home", "cell")
     member = reach.join(r, ["space", "cell"]).filter(F.col("far") <= F.col("radius") + radius)
     sizes = member.groupBy("space", "cell").agg(F.count("*").alias("members"), F.max("homes").alias("homes"))
@@ -165,16 +169,19 @@ def join(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: st
     found = dealt.groupBy("space", "cell", "i", "j").applyInPandas(_linker(cosine), "key string, links long, other string")
     found = written(found, "join-found")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
-    first = pts.select(F.col("key").alias("k"), "first")
-    edges = found.filter("other is not null and other <> key").select("key", "other").distinct()
-    edges = edges.join(first, F.col("key") == F.col("k")).select(F.col("first").alias("a"), "other") \
-                 .join(first, F.col("other") == F.col("k")).select("a", F.col("first").alias("b"))
-    label_of = components(edges)
-    p = pts.join(counts, "key", "left").join(label_of, pts["first"] == label_of["node"], "left")
-    p = written(p.select(F.col("key").alias("k"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                         F.coalesce("label", "first").alias("component_id")), "join-result")
+    edges = found.filter("other is not null and other <> key").select(F.col("key").alias("a"), F.col("other").alias("b"))
+    # points that share an id are one component; null is no id
+    ids = rows.filter("key is not null and id is not null").distinct()
+    shared = ids.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z")
+    shared = ids.join(shared, "id").filter("key <> a").select("a", F.col("key").alias("b"))
+    label_of = components(edges.union(shared).distinct())
+    p = pts.join(counts, "key", "left").join(label_of, pts["key"] == label_of["node"], "left")
+    p = written(p.select("key", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                         F.coalesce("label", "key").alias("label")), "join-labels")
+    least = p.groupBy("label").agg(F.min("first").alias("component_id"))           # nulls don't count
+    p = written(p.join(least, "label").select(F.col("key").alias("k"), "n_links", "component_id"), "join-result")
     out = rows.join(p, rows["key"] == p["k"], "left")
-    component = F.coalesce("component_id", "id")
+    component = F.when(F.col("k").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
