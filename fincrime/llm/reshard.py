@@ -10,18 +10,19 @@ writes the layout before to the shared folder, changes it there and returns what
 it reads from the files.
 
 Scale: Spark sums sizes by block; the driver sees one row a block, at most
-``3 * old * BLOCKS + 2 * PART * new`` however large the input.  Equal texts share a
-block and stay together; only a block over a part of a shard's bytes or rows (a
-hot group of copies, or of rows without a text) is cut by id, into parts of
-about a mean block's size.  The table of blocks, under the
-same bound, is broadcast; slots are numbered in each block and shifted by the
+``5 * old * BLOCKS + 4 * PART * new`` however large the input.  A block over a part
+of a shard's bytes or rows is cut by the hash of the text, into parts of about a
+mean block's size, so equal texts stay together; only a part that is still as
+large (one hot group of copies, or the rows without a text) is cut by id.  The
+table of blocks, under the same bound, is broadcast; slots are numbered in each block and shifted by the
 block's offset, so that no task holds a shard.  Texts are read and written where
 they are: they meet the table of blocks and are not shuffled.
 
 Defined results: a null text has size 1, like an empty one; null ids and
 repeated rows get places of their own; an empty table gives an empty one; an
 item larger than a capacity makes its shard larger by that much; other columns
-only go along into the files (``shard`` is the name of the folders' column).
+only go along into the files (the folders' column is named ``shard``, with
+underscores behind it where the input has that name).
 Between the commit of new files and the removal of emptied shards a reader can
 see the documents of these twice.
 """
@@ -116,21 +117,37 @@ def old_shard(text: Column, old: int) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(old)).cast("int")
 
 
-def keyed(df: DataFrame, big: DataFrame, old: int) -> DataFrame:
-    """``df`` (id, old, block) with ``key``, block or part of one, for ``block``."""
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")) + 1
-    return df.join(F.broadcast(big), ["old", "block"], "left") \
-             .withColumn("key", F.col("block") * (old * BLOCKS + 1) + F.coalesce(part, F.lit(0))).drop("parts", "block")
+def _parts(df: DataFrame, big: DataFrame) -> DataFrame:
+    """``df`` (old, block, g) with ``part`` of its block, by the text's hash ``g``; 0 in a block that is not cut."""
+    part = F.pmod(F.xxhash64("g", F.lit(2)), F.col("parts")) + 1
+    return df.join(F.broadcast(big), ["old", "block"], "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("parts")
 
 
-def _plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
-    """The table of cut blocks, and a row (old, key, shard, offset) a block or part."""
-    sums = written(sizes.groupBy("old", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "reshard-blocks")
-    total, rows = (x or 0 for x in sums.agg(F.sum("bytes"), F.sum("n")).first())
-    # at most PART * new blocks are large by bytes and as many by rows; their shares sum to 1 each
+def keyed(df: DataFrame, big: DataFrame, hot: DataFrame, old: int) -> DataFrame:
+    """``df`` (id, old, block, g) with ``key``, block or part of one or cut of a part, for ``block`` and ``g``."""
+    most = old * BLOCKS + 1          # parts of a block and cuts of a part are fewer
+    cut = F.pmod(F.xxhash64("id", F.lit(1)), F.col("cuts")) + 1
+    return _parts(df, big).join(F.broadcast(hot), ["old", "block", "part"], "left") \
+        .withColumn("key", (F.col("block") * most + F.col("part")) * most + F.coalesce(cut, F.lit(0))) \
+        .drop("cuts", "part", "block", "g")
+
+
+def _large(sums: DataFrame, old: int, new: int, total: int, rows: int, name: str) -> DataFrame:
+    """``sums``' groups over a part of a shard, with how often to cut them: at most PART * new by
+    bytes and as many by rows, as their shares sum to 1 each."""
     share = F.greatest(F.col("bytes") / F.lit(total or 1), F.col("n") / F.lit(rows or 1))
-    big = sums.filter(share * (PART * new) > 1).select("old", "block", F.ceil(share * (old * BLOCKS)).alias("parts"))
-    rows = keyed(sizes, big, old).groupBy("old", "key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+    return sums.filter(share * (PART * new) > 1).withColumn(name, F.ceil(share * (old * BLOCKS))).drop("bytes", "n")
+
+
+def _plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame, list[tuple[int, int, int, int]]]:
+    """The tables of cut blocks and of cut parts, and a row (old, key, shard, offset) a block, part or cut."""
+    added = [F.sum("size").alias("bytes"), F.count("*").alias("n")]
+    sums = written(sizes.groupBy("old", "block").agg(*added), "reshard-blocks")
+    total, rows = (x or 0 for x in sums.agg(F.sum("bytes"), F.sum("n")).first())
+    big = _large(sums, old, new, total, rows, "parts")
+    inside = _parts(sizes, big).filter("part > 0").groupBy("old", "block", "part").agg(*added)
+    hot = written(_large(inside, old, new, total, rows, "cuts"), "reshard-hot")
+    rows = keyed(sizes, big, hot, old).groupBy("old", "key").agg(*added).collect()
     room = [total // new + (j < total % new) for j in range(new)]
     of = [0] * old
     for r in rows:
@@ -142,30 +159,32 @@ def _plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, list[tuple[i
         j = place[r["old"], r["key"]]
         table_.append((r["old"], r["key"], j, ends[j]))
         ends[j] += r["n"]
-    return big, table_
+    return big, hot, table_
 
 
 PLACES = "old int, key long, shard int, offset long"
 
 
 def plan(sizes: DataFrame, old: int, new: int) -> tuple[DataFrame, DataFrame]:
-    """``sizes`` (id, size, old, block) with ``key`` (block or part of one),
-    and the table of (old, key) -> shard, offset."""
-    big, places = _plan(sizes, old, new)
-    return keyed(sizes, big, old), sizes.sparkSession.createDataFrame(places, PLACES)
+    """``sizes`` (id, size, old, block, and g, the hash of what stays together: without it a
+    block does) with ``key``, and the table of (old, key) -> shard, offset."""
+    if "g" not in sizes.columns:
+        sizes = sizes.withColumn("g", F.col("block"))
+    big, hot, places = _plan(sizes, old, new)
+    return keyed(sizes, big, hot, old), sizes.sparkSession.createDataFrame(places, PLACES)
 
 
 def _block(text: Column, old: int) -> Column:
     return F.pmod(F.floor(F.xxhash64(text) / F.lit(old)).cast("long"), F.lit(BLOCKS)).cast("long")
 
 
-def measured(df: DataFrame, id: str, text: str, old: int, *more: str) -> DataFrame:
-    """id, size, crc, old and block of each document."""
+def measured(df: DataFrame, id: str, text: str, old: int, *more: Column) -> DataFrame:
+    """id, size, crc, old, block and g (the text's hash) of each document."""
     t = whole(text)
     return df.select(
         *more,
         F.col(id).alias("id"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("crc"),
-        old_shard(t, old).alias("old"), _block(t, old).alias("block"))
+        old_shard(t, old).alias("old"), _block(t, old).alias("block"), F.xxhash64(t).alias("g"))
 
 
 def reshard(df: DataFrame, id: str = "doc_id", text: str = "text", old: int = OLD, new: int = NEW) -> DataFrame:
@@ -181,19 +200,27 @@ def _slots(d: DataFrame, id: str) -> DataFrame:
                     "shard", slot.cast("long").alias("slot"))
 
 
-def _replace(d: DataFrame, moves: Iterable[tuple[int, int]], path: str) -> None:
-    """Writes the rows of ``d`` in touched shards as these shards' only files.
-    ``moves``: every (old shard, shard) that has rows.  An emptied shard has no
-    rows to replace its folder, which is removed."""
+def folder(columns: Sequence[str]) -> str:
+    """The name of the folders' column beside ``columns``."""
+    name = "shard"
+    while name.lower() in map(str.lower, columns):
+        name += "_"
+    return name
+
+
+def _replace(d: DataFrame, moves: Iterable[tuple[int, int]], path: str, name: str) -> None:
+    """Writes the rows of ``d`` in touched shards (column ``name``) as these shards'
+    only files.  ``moves``: every (old shard, shard) that has rows.  An emptied shard
+    has no rows to replace its folder, which is removed."""
     moves = set(moves)
     touched = {j for m in moves if m[0] != m[1] for j in m}
     if not touched:
         return
-    d.filter(F.col("shard").isin(sorted(touched))).write.partitionBy("shard").mode("overwrite") \
+    d.filter(F.col(name).isin(sorted(touched))).write.partitionBy(name).mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").parquet(path)
     spark = d.sparkSession
     for j in sorted(touched - {shard for _, shard in moves}):
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={j}")
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}={j}")
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -202,37 +229,39 @@ def rewrite(df: DataFrame, placed: DataFrame, path: str, id: str = "doc_id", tex
     ``path/shard=<n>``; shards that keep all their documents are not touched.
 
     ``placed`` is ``reshard``'s result; ``id`` and the text's CRC name a row."""
-    p = placed.select(F.col(id).alias("__id"), F.col("text_crc32").alias("__crc"), "old_shard", "shard").distinct()
-    moves = [tuple(r) for r in p.select("old_shard", "shard").distinct().collect()]      # at most old * new
-    d = df.withColumn("__crc", F.crc32(whole(text)))
-    d = d.join(p, d[id].eqNullSafe(p["__id"]) & (d["__crc"] == p["__crc"]), "inner").drop("__id", "__crc", "old_shard")
-    _replace(d, moves, path)
+    name = folder(df.columns)
+    p = placed.select(F.col(id).alias("__id"), F.col("text_crc32").alias("__crc"), F.col("old_shard").alias("__old"),
+                      F.col("shard").alias(name)).distinct()
+    moves = [tuple(r) for r in p.select("__old", name).distinct().collect()]      # at most old * new
+    d = df.withColumn("__own", F.crc32(whole(text)))
+    d = d.join(p, d[id].eqNullSafe(p["__id"]) & (d["__own"] == p["__crc"]), "inner").drop("__id", "__crc", "__own", "__old")
+    _replace(d, moves, path, name)
 
 
 def files(spark, schema: StructType, path: str) -> DataFrame:
-    """The documents of a layout, with the ``shard`` in whose folder they lie."""
-    return spark.read.schema(StructType([*schema.fields, StructField("shard", IntegerType())])).parquet(path)
+    """The documents of a layout, with the shard in whose folder they lie."""
+    return spark.read.schema(StructType([*schema.fields, StructField(folder(schema.names), IntegerType())])).parquet(path)
 
 
 def relaid(df: DataFrame, path: str, id: str = "doc_id", text: str = "text", old: int = OLD, new: int = NEW) -> DataFrame:
     """Writes ``df`` to ``path`` in the layout before, plans and rewrites there;
     ``reshard``'s columns, read from the files that are then in ``path``."""
-    spark = df.sparkSession
-    df.withColumn("shard", old_shard(whole(text), old)).write.partitionBy("shard").parquet(path)
+    spark, name = df.sparkSession, folder(df.columns)
+    df.withColumn(name, old_shard(whole(text), old)).write.partitionBy(name).parquet(path)
     before = files(spark, df.schema, path)
-    big, table_ = _plan(written(measured(before, id, text, old), "reshard-sizes"), old, new)
+    big, hot, table_ = _plan(written(measured(before, id, text, old), "reshard-sizes"), old, new)
     places = spark.createDataFrame(table_, PLACES)
     moves = {(o, shard) for o, _, shard, _ in table_}
     lost = {o for o, shard in moves if o != shard}
     gained = {shard for o, shard in moves if o != shard}
     # the rows go along in a struct, so that no name of theirs meets the plan's
-    rows = before.filter(F.col("shard").isin(sorted(lost | gained))).select(
-        F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id).alias("id"), F.col("shard").alias("old"),
-        _block(whole(text), old).alias("block"))
-    rows = keyed(rows, big, old).join(F.broadcast(places), ["old", "key"]).select("row.*", "shard")
-    _replace(rows, moves, path)
+    rows = before.filter(F.col(name).isin(sorted(lost | gained))).select(
+        F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id).alias("id"), F.col(name).alias("old"),
+        _block(whole(text), old).alias("block"), F.xxhash64(whole(text)).alias("g"))
+    rows = keyed(rows, big, hot, old).join(F.broadcast(places), ["old", "key"]).select("row.*", F.col("shard").alias(name))
+    _replace(rows, moves, path, name)
     # slots by the plan's offsets, all else as it lies in the files
-    after = keyed(measured(files(spark, df.schema, path), id, text, old, "shard"), big, old)
+    after = keyed(measured(files(spark, df.schema, path), id, text, old, F.col(name).alias("shard")), big, hot, old)
     return _slots(after.join(F.broadcast(places.drop("shard")), ["old", "key"]), id)
 
 
