@@ -47,10 +47,11 @@ MARK = "▁"
 LIMIT = 4096
 KEPT = 600_000               # stretches whose counts a task keeps
 LONGEST = 60                 # characters of a stretch that is kept: its counts fit in bytes
-TOGETHER = 20_000            # stretches that are walked together
+TOGETHER = 50_000            # stretches that are walked together
 PAIRS = 500_000              # pairs of tokens whose stability a task keeps
 PART = 4_000_000             # characters of texts that are counted together
 START, UNCOVERED = -1, -2    # in place of a last token
+END = 0x110000               # in place of a character, after the last
 
 
 def _cutter(pieces: Iterable[str]) -> re.Pattern | None:
@@ -121,7 +122,7 @@ class Counter(dict):
         self.edge = np.array(sorted(edges), np.int64)
         self.below = np.array([edges[k] for k in sorted(edges)], np.int64)
         self.token = np.array(token, np.int64)
-        self.letter = np.zeros(0x110000, np.int32)
+        self.letter = np.zeros(END + 1, np.int32)
         self.letter[[ord(c) for c in self.letters]] = list(self.letters.values())
         self.covered = np.zeros(len(self.letters) + 1, bool)
         self.covered[[i for c, i in self.letters.items() if c in self.scores]] = True
@@ -190,36 +191,54 @@ class Counter(dict):
         return counts
 
     def walk_all(self, stretches: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The same for many short stretches at a time; ``stretches`` by length."""
-        most, k = len(stretches[-1]), len(stretches)
+        """The same for many short stretches at a time, in order, so that those with a prefix in common
+        are neighbours: each prefix is walked once, for the first stretch that has it."""
+        sizes = np.array(list(map(len, stretches)))
+        most, k = int(sizes.max()), len(stretches)
         points = np.frombuffer("".join(s.replace(" ", MARK).ljust(most, "\0") for s in stretches).encode("utf-32-le"), np.uint32)
-        points = points.reshape(k, most).T
-        codes, sizes = self.letter[points], np.array(list(map(len, stretches)))
+        points = np.where(np.arange(most) < sizes[:, None], points.reshape(k, most), END).T
         utf8 = 1 + (points > 0x7F).astype(np.uint8) + (points > 0x7FF) + (points > 0xFFFF)
+        codes = self.letter[points]
+        shared = np.zeros(k, np.int64)
+        shared[1:] = np.minimum.accumulate(points[:, 1:] == points[:, :-1], axis=0).sum(axis=0)
+        # by length: the stretches that have a prefix first, and for each stretch the one that has its prefix first
+        firsts = [np.flatnonzero((shared < n) & (sizes >= n)) for n in range(most + 1)]
+        firsts[0] = np.zeros(1, np.int64)
+        first_of = []
+        for f in firsts:
+            of = np.zeros(k, np.int32)
+            of[f] = f
+            first_of.append(np.maximum.accumulate(of))
         last = np.full((most + 1, k), START, np.int64)
         counts = np.zeros((most + 1, k), np.uint8)
         width = len(self.letters) + 1
         for start in range(most):
-            rows = np.arange(np.searchsorted(sizes, start, side="right"), k)
+            rows = firsts[start + 1]
             bare = rows[~self.covered[codes[start, rows]]]
-            last[start + 1, bare], counts[start + 1, bare] = UNCOVERED, counts[start, bare] + utf8[start, bare]
-            node = np.zeros(len(rows), np.int64)
+            last[start + 1, bare] = UNCOVERED
+            counts[start + 1, bare] = counts[start, first_of[start][bare]] + utf8[start, bare]
+            nodes = np.zeros(k, np.int64)
             for end in range(start, min(most, start + self.longest)):
-                longer = np.searchsorted(rows, np.searchsorted(sizes, end, side="right"))
-                rows, node = rows[longer:], node[longer:]
+                rows = firsts[end + 1]
+                node = nodes[first_of[end][rows]]
+                rows, node = rows[node >= 0], node[node >= 0]
                 key = node * width + codes[end, rows]
                 at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
                 found = self.edge[at] == key
                 rows, node = rows[found], self.below[at[found]]
                 if not len(rows):
                     break
+                nodes = np.full(k, -1)
+                nodes[rows] = node
                 token = self.token[node]
                 here, token = rows[token >= 0], token[token >= 0]
-                left = last[start, here]
+                before = first_of[start][here]
+                left = last[start, before]
                 fits = left < 0
                 fits[~fits] = self.stable(left[~fits] * self.size + token[~fits])
-                here, token = here[fits], token[fits]
-                last[end + 1, here], counts[end + 1, here] = token, counts[start, here] + 1
+                last[end + 1, here[fits]], counts[end + 1, here[fits]] = token[fits], counts[start, before[fits]] + 1
+        for n, of in enumerate(first_of):
+            counts[n] = counts[n, of]
         flat = counts.T.tobytes()
         for i, s in enumerate(stretches):
             yield s, flat[i * (most + 1):i * (most + 1) + len(s) + 1]
@@ -229,7 +248,7 @@ class Counter(dict):
         if len(self) + len(stretches) > KEPT:
             self.clear()
             self.total.clear()
-        new = sorted(sorted(s for s in stretches if s not in self and len(s) <= LONGEST), key=len)   # alike ones are neighbours
+        new = sorted(s for s in stretches if s not in self and len(s) <= LONGEST)
         for lo in range(0, len(new), TOGETHER):
             walked = dict(self.walk_all(new[lo:lo + TOGETHER]))
             self.update(walked)
