@@ -117,3 +117,29 @@ def test_global_rank_of_few_and_no_rows(spark):
     assert sorted(tuple(r) for r in global_rank(df, [("v", True)]).collect()) == [(1, 1), (2, 2)]
     assert global_rank(df.limit(0), [("v", True)]).count() == 0
     assert number_rows(df.limit(0), ["v"], ["v"], ties=[]).count() == 0
+
+
+def test_cost_of_a_row_does_not_grow_with_the_cuts(spark, small_ranges):
+    # a row halves the list of cuts; it is neither compared with each of them nor given a copy of them
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), "id")
+    for out in (number_rows(df, ["k"], ["id"], ties=[], ascending=True), global_rank(df, [("id", True)])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "__bucket" in plan and "filter(" not in plan and "__splits" not in plan
+    assert global_rank(df, [("id", True)]).filter("rank <> id + 1").count() == 0
+
+
+def test_cuts_of_days_instants_and_bytes(spark, small_ranges):
+    rows = [(i % 2, dt.date(2020, 1, 1 + i % 28), dt.datetime(2020, 3, 1 + i % 28, i % 24, i % 60), bytes([i % 251, 255]), i)
+            for i in range(3000)] + [(None, None, None, None, i) for i in range(3000, 4000)]
+    df = spark.createDataFrame(rows, "k int, d date, t timestamp, b binary, id int")
+    for keys, order in ((["k"], ["d", "t", "b"]), (["k"], ["t"]), (["d"], ["b", "t"]), (["k", "b"], ["d"])):
+        same(df, keys, order, ["id"], True)
+        same(df, keys, order, ["id"], False)
+
+
+def test_ranges_of_a_large_table_are_bounded(spark, small_ranges, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS", 1)
+    monkeypatch.setattr(numbering, "RANGES", 30)
+    found = numbering._splits(spark.range(3000), [], [(F.col("id"), True)], 3000, 1).collect()
+    assert 20 <= len(found[0]["__splits"]) <= 31
+    assert global_rank(spark.range(3000), [("id", False)]).filter("rank <> 3000 - id").count() == 0
