@@ -3,8 +3,9 @@
 Steps: recent ledger (classification, time and date attached) -> accounts
 flagged by stop indicators -> credit/debit pairs on (date, time, journal,
 amount) between different accounts and clients -> main client (newest
-snapshot, employer) and debit side lookups -> newest pair per main client
--> employer name and client filters.
+snapshot, employer) and debit side lookups by key -> pairs of the newest time
+per main client -> their names -> newest pair per main client -> employer name
+and client filters.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fincrime import functions as fn
 from fincrime.operators import (contra_entry_match, dedup, flagged_accounts, latest_snapshot,
-                                number_rows, recent_ledger, semi_join_keys)
+                                newest_rows, number_rows, recent_ledger, semi_join_keys)
 from fincrime.plans.reports.common import current, to_date_value
 from fincrime.sources.catalog import Warehouse
 
@@ -48,12 +49,15 @@ def recent_transactions(wh: Warehouse, as_of=None, days: int = 30, faithful: boo
 
     The date test is on the raw integer key, so it is pushed into the scan; on
     a ledger partitioned by posted month both roles that read it prune the
-    partitions (the flagged accounts come from all history)."""
+    partitions (the flagged accounts come from all history).
+
+    Days and times of day are calendars, bounded whatever the ledger's size:
+    they are broadcast, so the ledger is not dealt out by a few values."""
     ft = recent_ledger(wh["facttransaction"], to_date_value(as_of), days, "postedtransactiondatekey", faithful)
     cls = current(wh["vwdimtransactionclassification"], current_only).select(
         F.col("transactionclassificationkey").alias("__tck"), "transactioncode")
-    ti = wh["dimtime"].select(F.col("timekey"))
-    di = wh["dimdate"].select(F.col("datekey").alias("__dk"))
+    ti = F.broadcast(wh["dimtime"].select(F.col("timekey")))
+    di = F.broadcast(wh["dimdate"].select(F.col("datekey").alias("__dk")).distinct())
     j = (ft.join(cls, F.col("__tck") == F.col("transactionclassificationkey"))
            .join(ti, F.col("postedtransactiontimekey") == F.col("timekey"))
            .join(di, F.col("postedtransactiondatekey") == F.col("__dk"), "left_semi"))
@@ -76,10 +80,6 @@ def staff_from_stopped(wh: Warehouse, employer_like: str, as_of=None,
         wh["facttransaction"].join(cls_all.select("transactionclassificationkey"),
                                    "transactionclassificationkey", "left_semi"),
         codes)
-    pairs = contra_entry_match(ledger, flagged,
-                               keys=("transactiondatekey", "timekey", "journalnumber"),
-                               carry=("transactioncode",))
-
     # main client: newest snapshot -> client -> employer
     fc = latest_snapshot(wh["factclient"], "clientsnapshotdatekey").select("clientkey", "employerkey")
     dcl = current(wh["dimclient"], current_only)
@@ -92,10 +92,9 @@ def staff_from_stopped(wh: Warehouse, employer_like: str, as_of=None,
         # the partition key of the newest-pair window: safe to filter first
         main_client = semi_join_keys(main_client, "cif_check_digit", clients)
     emp = current(wh["dimemployer"], current_only)
-    dc = (fc.join(main_client, "clientkey")
-            .join(emp.select(F.col("employerkey").alias("__e"), F.col("employername")
-                             .alias("main_employer_name")), F.col("employerkey") == F.col("__e"))
-            .drop("__e"))
+    main_emp = emp.select(F.col("employerkey").alias("__e"), F.col("employername").alias("main_employer_name"))
+    dc = (fc.join(main_client.select("clientkey", "cif_check_digit"), "clientkey")
+            .join(main_emp, F.col("employerkey") == F.col("__e"), "left_semi"))
     acc = wh["dimaccount"]
     staff = current(acc, True).select(F.col("accountkey").alias("__sa"),
                                       F.col("accountnumberwithcheckdigit").alias("staff_account"))
@@ -119,15 +118,31 @@ def staff_from_stopped(wh: Warehouse, employer_like: str, as_of=None,
     # the "balance" employer is looked up by the MAIN client's employer key
     bal_emp = emp.select(F.col("employerkey").alias("__be"),
                          F.col("employername").alias("balance_employer_name"))
-    j = (pairs.join(dc, F.col("clientkey") == F.col("credit_client"))
-              .join(staff, F.col("__sa") == F.col("credit_account"))
-              .join(main_code, F.col("main_tran_code") == F.col("credit_transactioncode"))
-              .join(stopped, F.col("__da") == F.col("debit_account"))
-              .join(dd, F.col("__ddk") == F.col("transactiondatekey"))
-              .join(dt, F.col("__tk") == F.col("timekey"))
-              .join(bal_code, F.col("balance_tran_code") == F.col("debit_transactioncode"))
-              .join(bal_client, F.col("__bc") == F.col("debit_client"))
-              .join(bal_emp, F.col("__be") == F.col("employerkey")))
+    # only the newest time of a main client can hold its newest pair: the pairs that pass every lookup
+    # are narrowed to it by their keys alone, and names are attached to what is left.  Rows are
+    # distinct in the end, so a lookup that only has to exist is a semi-join here.
+    pairs = contra_entry_match(ledger, flagged.join(stopped, F.col("__da") == F.col("accountkey"), "left_semi"),
+                               keys=("transactiondatekey", "timekey", "journalnumber"),
+                               carry=("transactioncode",))
+    newest = newest_rows(
+        pairs.join(main_code, F.col("main_tran_code") == F.col("credit_transactioncode"), "left_semi")
+             .join(bal_code, F.col("balance_tran_code") == F.col("debit_transactioncode"), "left_semi")
+             .join(F.broadcast(dd.distinct()), F.col("__ddk") == F.col("transactiondatekey"))
+             .join(F.broadcast(dt.distinct()), F.col("__tk") == F.col("timekey"))
+             .join(staff, F.col("__sa") == F.col("credit_account"), "left_semi")
+             .join(bal_client, F.col("__bc") == F.col("debit_client"), "left_semi")
+             .join(dc, F.col("clientkey") == F.col("credit_client")),
+        ["cif_check_digit"], "tran_date", "__h", "__m").drop("clientkey")
+    named = main_client.withColumnRenamed("cif_check_digit", "__cif")
+    j = (newest.join(named, (F.col("clientkey") == F.col("credit_client"))
+                     & F.col("__cif").eqNullSafe(F.col("cif_check_digit")))
+               .join(main_emp, F.col("employerkey") == F.col("__e"))
+               .join(staff, F.col("__sa") == F.col("credit_account"))
+               .join(main_code, F.col("main_tran_code") == F.col("credit_transactioncode"))
+               .join(stopped, F.col("__da") == F.col("debit_account"))
+               .join(bal_code, F.col("balance_tran_code") == F.col("debit_transactioncode"))
+               .join(bal_client, F.col("__bc") == F.col("debit_client"))
+               .join(bal_emp, F.col("__be") == F.col("employerkey")))
     rows = j.select(*[F.col(c) for c in OUTPUT if c not in ("main_amount", "balance_amount")],
                     F.col("credit_amount").alias("main_amount"),
                     F.col("debit_amount").alias("balance_amount"), "__h", "__m")

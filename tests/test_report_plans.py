@@ -50,6 +50,18 @@ def test_contra_prunes_the_ledger_by_month_for_both_legs(spark, wh):
     assert len(ledger) == 3 and len(pruned) == 2          # flagged accounts come from all history
 
 
+def test_contra_names_only_pairs_of_the_newest_time(spark, wh):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = static_plan(spark, lambda: FULL_REPORTS["full_contra"](wh))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the newest time a client is found below the joins that attach names, and no rows are dealt out by the time of day
+    assert 0 < plan.index("row_number()") < plan.index(" rank(") and "hashpartitioning(timekey#" not in plan
+    assert "main_last_name" not in plan[plan.index(" rank("):plan.index("Exchange", plan.index(" rank("))]
+
+
 def test_tollgate_reads_the_indicator_table_once(spark, wh):
     plan = static_plan(spark, lambda: FULL_REPORTS["full_tollgate"](wh))
     assert len(scans(plan, "dimcardtransactionindicators")) == 1
