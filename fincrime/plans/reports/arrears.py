@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fincrime import functions as fn
-from fincrime.operators import (dedup, first_per_key, latest_snapshot, scd2_current,
-                                semi_join_keys)
+from fincrime.operators import (dedup, first_per_key, latest_snapshot, number_rows,
+                                scd2_current, semi_join_keys)
 from fincrime.plans.reports.common import date_key, to_date_value
 from fincrime.sources.catalog import Warehouse
 
@@ -40,6 +40,7 @@ REQUIRED = {
     "dbo_gdcreditpolicystrategy": ["logicalrecordid", "score_mi"],
 }
 
+PACK = 32     # credit outcomes of a client that travel with a loan row through the sort
 LOAN_GROUPS = ["Loan", "Facility", "Credit Card"]
 
 OUTPUT = ["id_number", "cif_check_digit", "client_create_date", "create_teller",
@@ -158,6 +159,7 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
            .join(db, F.col("__bk") == F.col("transactionbranchkey"), "left")
            .join(dt2, F.col("__t2k") == F.col("loanofficertellerkey"), "left")
            .join(dcc, F.col("__cck") == F.col("clientcollectionskey"), "left"))
+    # dealt out by client at once: the DISTINCT and the join with the outcomes both stay there
     loan_side = dedup(j.select(
         F.col("partyidentifiertypenumber").alias("id_number"),
         F.col("cifwithcheckdigit").alias("cif_check_digit"),
@@ -182,12 +184,15 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
         F.col("employername").alias("employer_name"),
         F.col("employerindustrytypename").alias("industry"),
         F.col("advanceamount").alias("capout"),
-        fn.arrears_ratio("loanarrearsamount", "loanbalanceamount").alias("client_arrears_ratio")))
+        fn.arrears_ratio("loanarrearsamount", "loanbalanceamount").alias("client_arrears_ratio"))
+        .repartition("cif_check_digit"))
     # Credit outcomes join by client only, so every loan row meets every
     # outcome row of its client.  Both sides carry the client's CIF, so the
     # product of the two DISTINCT sides is itself distinct: de-duplicating
     # each side before the fan-out gives exactly the DISTINCT of the whole
-    # row, without hashing the fanned-out rows.
+    # row, without hashing the fanned-out rows.  Nor are these sorted: the sort
+    # is by the loan side alone, so a loan row meets its client's outcomes in
+    # packs of at most PACK and the packs are opened after it, in its order.
     outcome_side = dedup(
         cao.join(sma, F.col("__sma") == F.col("logical_record_id"), "left")
            .join(smr, F.col("__smr") == F.col("logical_record_id"), "left")
@@ -196,5 +201,11 @@ def arrears(wh: Warehouse, accounts: Sequence[str] | DataFrame, date_from, date_
                    F.col("loanpurpose").alias("loan_purpose"),
                    F.col("retailername").alias("retailer_name"),
                    F.col("privatesector").alias("mie"), F.col("score_mi").alias("prism_score")))
-    out = loan_side.join(outcome_side, F.col("cif_check_digit") == F.col("__cao_cif")).select(*OUTPUT)
-    return out.orderBy(F.col("id_number").desc_nulls_last())
+    shown = [c for c in outcome_side.columns if c in OUTPUT]
+    packed = number_rows(outcome_side, ["__cao_cif"], shown, ties=[], name="__n", balanced=False) \
+        .groupBy("__cao_cif", F.ceil(F.col("__n") / PACK).alias("__pack")) \
+        .agg(F.collect_list(F.struct(*shown)).alias("__outcomes"))
+    out = loan_side.join(packed, F.col("cif_check_digit") == F.col("__cao_cif"))
+    out = out.orderBy(F.col("id_number").desc_nulls_last())
+    return out.withColumn("__o", F.explode("__outcomes")) \
+              .select(*[F.col(f"__o.{c}").alias(c) if c in shown else F.col(c) for c in OUTPUT])

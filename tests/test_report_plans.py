@@ -1,5 +1,6 @@
 """What the plans of the full reports read, on a warehouse written as parquet."""
 
+import importlib
 import random
 
 import pytest
@@ -13,6 +14,8 @@ from fincrime.plans.full_oracle import full_report_sql
 from fincrime.sources.derived_warehouse import materialise
 from harness import duck, normalise
 
+arrears = importlib.import_module("fincrime.plans.reports.arrears")   # the package has a function of that name
+
 
 @pytest.fixture(scope="module")
 def wh(spark, tmp_path_factory):
@@ -62,6 +65,18 @@ def test_contra_names_only_pairs_of_the_newest_time(spark, wh):
     assert "main_last_name" not in plan[plan.index(" rank("):plan.index("Exchange", plan.index(" rank("))]
 
 
+def test_arrears_sorts_loans_before_their_outcomes_fan_out(spark, wh, monkeypatch):
+    plan = static_plan(spark, lambda: FULL_REPORTS["full_arrears"](wh))
+    assert 0 < plan.index("Generate explode(__outcomes") < plan.index("Sort [id_number")
+    monkeypatch.setattr(arrears, "PACK", 2)          # clients with more outcomes than one pack
+    df = FULL_REPORTS["full_arrears"](wh)
+    rel = duck(SF_SMALL).sql(full_report_sql()["full_arrears"])
+    rows = [tuple(r) for r in df.collect()]
+    assert normalise(df.columns, rows) == normalise(rel.columns, rel.fetchall())
+    ids = [r[df.columns.index("id_number")] for r in rows]
+    assert ids == sorted(ids, reverse=True) and max(ids.count(i) for i in set(ids)) > 2
+
+
 def test_tollgate_reads_the_indicator_table_once(spark, wh):
     plan = static_plan(spark, lambda: FULL_REPORTS["full_tollgate"](wh))
     assert len(scans(plan, "dimcardtransactionindicators")) == 1
