@@ -27,6 +27,10 @@ bucket, and there is a bucket for each ``BUCKET_BYTES`` of text: what a bucket
 holds does not grow with the corpus.  The best phrases of a language are found in
 ``BUCKETS`` parts first.
 
+Memory of a task: the batch it was given, ``PART`` bytes of it at work (some 50
+bytes each), and either one array of ``HELD`` hashes, sorted in place, or ``TEXTS``
+texts; it sends ``SENT`` phrases at a time, so neither side holds more of them.
+
 Defined results: a null or empty text has no words; a null language counts as
 ``und``; words are separated by runs of blanks, phrases are given with single
 ones; repeated rows count each; languages without candidates have no rows; an
@@ -39,7 +43,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -55,10 +60,11 @@ SHARDS = 3
 COVER_PERCENT = 50
 TOP = 2000
 BUCKETS = 64
-PART = 1_000_000             # bytes of text that are hashed together
+PART = 300_000               # bytes of text that are hashed together
 HELD = 3_000_000             # phrases that a task holds before it sums and sends them
-BUCKET_BYTES = 8_000_000     # bytes of text whose phrases' counts are added up together
-TEXTS = 500_000              # candidates' texts that a task holds before it sends their counts
+SENT = 100_000               # phrases that a task sends at a time
+BUCKET_BYTES = 2_000_000     # bytes of text whose phrases' counts are added up together
+TEXTS = 200_000              # candidates' texts that a task holds before it sends their counts
 BITS, MOST_BITS = 16, 1 << 27
 KEY = np.uint64((1 << 62) - 1)
 DELIMITER = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -90,7 +96,7 @@ class Powers:
 _powers = Powers()
 
 
-def parts(texts: list[bytes]) -> Iterator[bytes]:
+def parts(texts: Iterable[bytes]) -> Iterator[bytes]:
     """The texts in lower case, each followed by a line end, put together to about PART bytes;
     longer ones are cut between pieces."""
     held, size = [], 0
@@ -134,13 +140,15 @@ def phrases(part: bytes, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np
         chained[at] = _mix(key) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, int, list[bytes]]]:
+def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, int, Iterator[bytes]]]:
+    """Each language of a batch with a seed and its texts, which leave the batch one by one."""
     import hashlib
-    texts: dict[str, list[bytes]] = {}
-    for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
-        texts.setdefault(lang, []).append(t.as_py())
-    for lang, own in texts.items():
-        yield lang, int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"), own
+    langs, texts = b.column(0).dictionary_encode(), b.column(1)
+    codes = langs.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    cuts = np.searchsorted(codes[order], np.arange(1, len(langs.dictionary)))
+    for lang, own in zip(langs.dictionary.to_pylist(), np.split(order, cuts)):
+        yield lang, int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"), (texts[i].as_py() for i in own.tolist())
 
 
 def _shard_counts(bits: int):
@@ -148,26 +156,35 @@ def _shard_counts(bits: int):
     hash's first ``bits`` bits) packed in a row; the shard is the task's."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % SHARDS
-        held: list[np.ndarray] = []
-
-        def summed() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            bucket, starts = np.unique(keys >> np.uint64(62 - bits), return_index=True)
-            ends = np.append(starts, len(keys))
-            packed = lambda x, size: pa.Array.from_buffers(
-                pa.binary(), len(starts), [None, pa.py_buffer((ends * size).astype(np.int32)), pa.py_buffer(x)])
-            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(np.full(len(starts), shard, np.int8)),
-                                               packed(keys, 8), packed(n.astype(np.int32), 4)], ["bucket", "shard", "keys", "n"])
+        held, size = np.empty(HELD, np.uint64), 0
+
+        def packed(own: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            keys, n = own[starts], np.diff(np.append(starts, len(own)))
+            bucket, first = np.unique(keys >> np.uint64(62 - bits), return_index=True)
+            ends = np.append(first, len(keys))
+            binary = lambda x, width: pa.Array.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(x)])
+            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(np.full(len(first), shard, np.int8)),
+                                               binary(keys, 8), binary(n.astype(np.int32), 4)], ["bucket", "shard", "keys", "n"])
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            held[:size].sort()
+            for lo in range(0, size, SENT):
+                yield packed(held[lo:min(lo + SENT, size)])
 
         for b in batches:
             for _, seed, texts in _by_language(b):
                 for part in parts(texts):
-                    held += [keys for keys, _, _ in phrases(part, seed)]
-                    if sum(map(len, held)) >= HELD:
-                        yield summed()
-        if held:
-            yield summed()
+                    for keys, _, _ in phrases(part, seed):
+                        while len(keys):
+                            some, keys = keys[:HELD - size], keys[HELD - size:]
+                            held[size:size + len(some)] = some
+                            size += len(some)
+                            if size == HELD:
+                                yield from summed()
+                                size = 0
+        yield from summed()
     return count
 
 
@@ -201,8 +218,8 @@ def _texts(part: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray)
         own = own[same[own] & (example[own] != own)]
         if len(own):
             span = np.arange(size[own[0]])
-            for lo in range(0, len(own), 1 + 2_000_000 // len(span)):
-                some = own[lo:lo + 1 + 2_000_000 // len(span)]
+            for lo in range(0, len(own), 1 + 500_000 // len(span)):
+                some = own[lo:lo + 1 + 500_000 // len(span)]
                 same[some] = (data[starts[some, None] + span] == data[starts[example[some], None] + span]).all(axis=1)
     n = np.bincount(of[same], minlength=len(first))
     yield from zip([part[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], n.tolist())
@@ -223,11 +240,12 @@ def _candidate_counts(bitmap):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.int64()))],
                                               ["lang", "words", "phrase", "n"])
 
-        def flushed() -> pa.RecordBatch:
+        def flushed() -> Iterator[pa.RecordBatch]:
             # single blanks; what differs in blanks only is summed by the group that follows
-            found = [(lang, k, b" ".join(t.split()).decode(), n) for (lang, k), texts in held.items() for t, n in texts.items()]
+            found = ((lang, k, b" ".join(t.split()).decode(), n) for (lang, k), texts in held.items() for t, n in texts.items())
+            while some := list(islice(found, SENT)):
+                yield rows(some)
             held.clear()
-            return rows(found)
 
         for b in batches:
             for lang, seed, texts in _by_language(b):
@@ -242,8 +260,8 @@ def _candidate_counts(bitmap):
                             for t, n in _texts(part, starts[own], ends[own], keys[own]):
                                 into[t] = into.get(t, 0) + n
                     if sum(map(len, held.values())) >= TEXTS:
-                        yield flushed()
-        yield flushed()
+                        yield from flushed()
+        yield from flushed()
         yield rows([(lang, 0, None, n) for lang, n in total.items() if n])
     return count
 

@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fincrime.llm import collocations
@@ -116,3 +119,44 @@ def test_products_beyond_64_bits(spark):
 
 def test_empty_table(spark):
     assert rows_of(collocations.collocations(docs(spark, []))) == []
+
+
+def most_mb(batches):
+    """MB that a task holds at most, and that its largest batch has."""
+    tracemalloc.start()
+    sent = max(b.nbytes for b in batches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6, sent / 1e6
+
+
+def many_words(n):
+    words = np.random.default_rng(11).integers(0, 50_000, n).astype(str)
+    texts = [" ".join(words[i:i + 1000]).encode() for i in range(0, n, 1000)]
+    return iter([pa.RecordBatch.from_arrays([pa.array(["en", "de"] * (len(texts) // 2)), pa.array(texts)], ["lang", "t"])])
+
+
+def test_memory_of_the_first_pass(monkeypatch):
+    monkeypatch.setattr(collocations, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    peak, sent = most_mb(collocations._shard_counts(6)(many_words(1_200_000)))
+    assert peak < 80 and sent < 4
+
+
+def test_memory_of_the_second_pass():
+    peak, sent = most_mb(collocations._candidate_counts(SimpleNamespace(value=b"\xff" * 8))(many_words(400_000)))
+    assert peak < 120 and sent < 8
+
+
+def test_a_full_buffer_loses_nothing(monkeypatch):
+    monkeypatch.setattr(collocations, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 4)))
+    want = Counter(k for _, seed, texts in collocations._by_language(next(many_words(4000)))
+                   for part in collocations.parts(texts) for keys, _, _ in collocations.phrases(part, seed) for k in keys.tolist())
+    monkeypatch.setattr(collocations, "HELD", 1000)
+    monkeypatch.setattr(collocations, "SENT", 300, raising=False)
+    got = Counter()
+    for b in collocations._shard_counts(5)(many_words(4000)):
+        for bucket, shard, keys, n in zip(*b.to_pydict().values()):
+            keys = np.frombuffer(keys, np.uint64)
+            assert shard == 1 and (keys >> np.uint64(57) == bucket).all()
+            got.update(dict(zip(keys.tolist(), np.frombuffer(n, np.int32).tolist())))
+    assert got == want
